@@ -168,7 +168,7 @@ def predict(texts: list[str | None], m: LanguageModel) -> tuple[list[str], list[
     return [m.langs[k] if ok else UNDETERMINED for k, ok in zip(best, letter)], [float(x) if ok else 0.0 for x, ok in zip(p.max(1), letter)]
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The kept columns, lang_pred and score of every whole text; one pass, no shuffle, rows as they come."""
     arrow_limits(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -176,7 +176,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lang, p = predict(b.column(len(keep)).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(p, pa.float64())], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(p, pa.float64())], [*keep, *out])
 
-    out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, out)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
+    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)
