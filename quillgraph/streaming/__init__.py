@@ -1 +1 @@
-
+"""No operator here: what this engine computes is batch only; windows over tokens are in operators.chunk."""
