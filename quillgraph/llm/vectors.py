@@ -101,7 +101,7 @@ def compared(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
 
 
 def _count(own, ids, sums, x, others, many, least, edges) -> None:
-    """Adds to sums how many rows of x each home links with; to edges, one link for each that came and what joins homes."""
+    """Adds to sums how many rows of x each home links with; to edges, of the links of each that came those that join homes."""
     quick = quantised(own)
     root = list(range(len(ids)))
 
@@ -127,7 +127,7 @@ def _count(own, ids, sums, x, others, many, least, edges) -> None:
                 edges.append((int(others[k + y]), int(ids[h])))
             elif (p := find(lead)) != (q := find(h)):
                 root[q] = p
-                edges.append((int(ids[lead]), int(ids[h])))
+                edges.append((int(others[k + y]), int(ids[h])))
 
 
 def links(nodes: DataFrame, least: float = 0.95) -> DataFrame:
