@@ -77,7 +77,8 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def forest(homes: np.ndarray, others: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Links within `most` bits between homes and others, as few as keep together what they connect."""
-    near = np.bitwise_count(homes[:, None] ^ others[None, :]) <= most
+    # unsigned: of negative numbers bitwise_count would count the bits of the absolute value
+    near = np.bitwise_count(homes.view(np.uint64)[:, None] ^ others.view(np.uint64)[None, :]) <= most
     near &= homes[:, None] != others[None, :]
     if not near.any():
         return []
