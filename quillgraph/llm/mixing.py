@@ -84,7 +84,7 @@ def with_copies(docs: DataFrame, goal: DataFrame, seed: int = 17) -> DataFrame:
         both = docs.join(F.broadcast(goal), docs["source"].eqNullSafe(goal["__source"]))
     else:
         left = docs.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-        right = goal.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        right = goal.withColumn("__t", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         both = left.join(right, left["source"].eqNullSafe(right["__source"]) & (left["__salt"] == right["__t"])).drop("__salt", "__t")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     extra = (uniform(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) < rate - F.floor(rate)).cast("int")

@@ -194,7 +194,7 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.coalesce(docs["doc_id"].cast("long"), F.lit(low)).alias("o"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = sorted(set(rows.select((-F.col("o").cast("double")).alias("k")).approxQuantile("k", [i / ranges for i in range(1, ranges)], 0.1 / ranges)))
-    splits = [-float("inf"), *bounds, float("inf")]
+    splits = [-float("inf"), *(bounds or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="k", outputCol="range")
     ranged = cut.transform(rows.withColumn("k", -F.col("o").cast("double"))).withColumn("range", F.col("range").cast("int"))
     heads = sorted((r["range"], r["o"]) for r in ranged.groupBy("range").agg(F.max("o").alias("o")).collect())

@@ -209,7 +209,7 @@ def test_mixing(spark):
 
 def test_mixing_with_salts(spark, monkeypatch):
     rows = [(i, "a b c", f"s{i % 5}") for i in range(50)]
-    want = sorted(tuple(r) for r in mixing.plan(docs(spark, rows)).collect())
+    want = sorted(tuple(r) for r in mixing.plan(docs(spark, rows)).select("doc_id", "source", "size", "source_size", "target", "copies").collect())
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert sorted(tuple(r) for r in mixing.plan(docs(spark, rows)).select("doc_id", "source", "size", "source_size", "target", "copies").collect()) == want
 
@@ -330,7 +330,7 @@ def test_long_fragments_merge_alike():
 
 def test_suffix_tree(spark):
     rng = random.Random(14)
-    rows = [(i, text(rng, 80), "a") for i in range(60)] + ODD
+    rows = [(i + 100, text(rng, 80), "a") for i in range(60)] + ODD
     df = docs(spark, rows).withColumn("held", F.coalesce(F.col("doc_id") % 5 == 0, F.lit(True)))
     got = suffixtree.score(df, ~F.col("held"), ("doc_id", "held"), common=0.02).collect()
     assert len(got) == len(rows)
@@ -362,7 +362,7 @@ def test_suffix_tree(spark):
     for i, t, _ in rows:
         assert by_id[i]["score"] == pytest.approx(tree.score(suffixtree.tokens(t)))
     assert sum(tree.probability(b"the ", a) for a in range(256)) == pytest.approx(1.0)
-    held = [r for r in got if r["held"] and r["doc_id"] is not None and r["doc_id"] < 60]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    held = [r for r in got if r["held"] and r["doc_id"] is not None and r["doc_id"] >= 100]
+    assert sum(r["score"] for r in held) > 1.05 * sum(r["base_score"] for r in held)  # words drawn alone: nothing beats counts of words by much
     assert suffixtree.score(df.limit(0), F.lit(True), ("doc_id",)).count() == 0
     assert suffixtree.score(df, F.lit(False), ("doc_id",)).count() == len(rows)
