@@ -60,6 +60,11 @@ def features(text: str) -> list[np.ndarray]:
     return [np.fromiter({x for w in set(ws) for x in buckets(w)}, np.int32) for a, b in sentences(low) if (ws := _WORD.findall(low, a, b))]
 
 
+def telling(df, bad, rate: float):
+    """Whether a feature in df documents, bad of them toxic, may gain weight where the share `rate` of all is toxic."""
+    return (bad > 1) & (bad > 1.5 * rate * df)
+
+
 def train(docs: list[list[np.ndarray]], labels: list[int], steps: int = 200, rate: float = 0.1, l1: float = 0.05, start: float = -7.0) -> ToxicityModel:
     """Adam with a proximal L1 step on the noisy-or likelihood; docs in any fixed order.
 
@@ -75,7 +80,7 @@ def train(docs: list[list[np.ndarray]], labels: list[int], steps: int = 200, rat
     doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     pairs = np.unique(doc[of] * (1 << _BITS) + ids)
     df, bad = (np.bincount(pairs & ((1 << _BITS) - 1), weights, 1 << _BITS) for weights in (None, y[pairs >> _BITS]))
-    use = ((bad > 1) & (bad > 1.5 * y.mean() * df))[ids]
+    use = telling(df, bad, y.mean())[ids]
     ids, of = ids[use], of[use]
     words, col = np.unique(ids, return_inverse=True)
     w, b = np.zeros(len(words) + 1), start
@@ -96,20 +101,38 @@ def train(docs: list[list[np.ndarray]], labels: list[int], steps: int = 200, rat
     return ToxicityModel({int(k): float(x) for k, x in zip(words, w) if abs(x) > 1e-3}, float(w[-1]))
 
 
-def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", by: str = "doc_id", rows: int = 6000) -> ToxicityModel:
-    """From labelled rows, of which about `rows` are taken by the hash of `by`; features are made on the executors.
+def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", by: str = "doc_id", rows: int = 10_000) -> ToxicityModel:
+    """From labelled rows, of which about `rows` are taken by the hash of `by`.
+
+    Features are made on the executors, which first count in how many documents of either label each stands; only those
+    that may gain weight come to the driver.
 
     Rows with a null label or text teach nothing.
     """
-    arrow_limits(labelled.sparkSession)
-    taken = sampled(labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(by, text, F.col(label).cast("int").alias("y")), rows, by)
+    spark = labelled.sparkSession
+    arrow_limits(spark)
+    taken = sampled(labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(by, text, (F.col(label) > 0).cast("int").alias("y")), rows, by).select("y", text)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b.column(0).to_numpy(zero_copy_only=False)
+            got = [np.unique(np.concatenate(d)) if d else np.zeros(0, np.int32) for d in map(features, b.column(1).to_pylist())]
+            ids, inverse = np.unique(np.concatenate(got), return_inverse=True)
+            label = np.repeat(y, [len(g) for g in got])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(np.bincount(inverse, minlength=len(ids)), pa.int64()), pa.array(np.bincount(inverse, label, len(ids)).astype(np.int64))], ["b", "df", "bad"])
+
+    rate = taken.agg(F.avg("y")).first()[0] or 0.0
+    seen = taken.mapInArrow(count, "b int, df long, bad long").groupBy("b").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"))
+    good = spark.sparkContext.broadcast(seen.where(telling(F.col("df"), F.col("bad"), rate)).select("b").toArrow().column(0).to_numpy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells = np.zeros(1 << _BITS, bool)
+        tells[good.value] = True
         for b in batches:
-            got = [features(x) for x in b.column(1).to_pylist()]
+            got = [[s[tells[s]] for s in features(x)] for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.concatenate(d).tobytes() if d else b"" for d in got], pa.binary()), pa.array([np.array([len(s) for s in d], np.int32).tobytes() for d in got], pa.binary())], ["y", "ids", "sizes"])
 
-    got = sorted((int(r["y"] > 0), bytes(r["ids"]), bytes(r["sizes"])) for r in taken.select("y", text).mapInArrow(run, "y int, ids binary, sizes binary").collect())
+    got = sorted((r["y"], bytes(r["ids"]), bytes(r["sizes"])) for r in taken.mapInArrow(run, "y int, ids binary, sizes binary").collect())
     docs = [np.split(np.frombuffer(i, np.int32), np.cumsum(np.frombuffer(n, np.int32))[:-1]) if n else [] for _, i, n in got]
     return train(docs, [y for y, _, _ in got])
 
@@ -152,7 +175,7 @@ class Scorer:
         return float(-np.expm1(-np.logaddexp(0, z).sum())), [{"start": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= least)]
 
 
-def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least: float = 0.5, out: tuple[str, str] = ("score", "offending")) -> DataFrame:
     """The kept columns, the score of every whole text and its offending sentences (start, end, score).
 
     Null, empty and wordless texts score 0. One pass, no shuffle, rows as they come.
@@ -165,7 +188,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple
         scorer = Scorer(shared.value)
         for b in batches:
             got = [scorer(x or "", least) for x in b.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([s for s, _ in got], pa.float64()), pa.array([x for _, x in got], span)], [*keep, "score", "offending"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([s for s, _ in got], pa.float64()), pa.array([x for _, x in got], span)], [*keep, *out])
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("offending", spans)]))
+    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField(out[0], T.DoubleType()), T.StructField(out[1], spans)]))
