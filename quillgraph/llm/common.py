@@ -56,14 +56,6 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[docs[c] for c in columns])
 
 
-def per_mille(docs: DataFrame, rows: int, by: str = "doc_id") -> DataFrame:
-    """At most about `rows` rows, those with the smallest hashes of `by`: the same for any order or partitioning.
-
-    A bounded TakeOrderedAndProject; for the bounded samples that classifiers are fitted on.
-    """
-    return docs.orderBy(F.xxhash64(F.lit(20260), F.col(by)), F.col(by)).limit(rows)
-
-
 def sampled(docs: DataFrame, rows: int, by: str = "doc_id") -> DataFrame:
     """About `rows` of the rows (all, if there are no more), those whose id hash is below rows / count.
 

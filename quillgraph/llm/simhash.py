@@ -182,10 +182,15 @@ def classes(docs: DataFrame, shingle: int = 3, most: int = 3, text: str = "text"
 
 
 def kept(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
-    """docs without near-duplicates: of each class the row with the smallest doc_id stays (one row, if it is repeated).
+    """docs without near-duplicates: of each class the row with the smallest doc_id stays, with the columns of docs.
 
-    The columns are those of docs.
+    Whole texts move once, to meet the ids that stay. Where an id is repeated, equal rows of it stay once. Null ids stay,
+    once for each text, if there is a class without any other id.
     """
-    first = classes(docs, shingle, most).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    stay = docs.join(first, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    found = classes(docs, shingle, most).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = cut(found.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")))
+    stay = docs.join(first, docs["doc_id"].eqNullSafe(F.col("__id")))
+    if first.where("__n > 1").isEmpty():
+        return stay.select(*docs.columns)
+    again = stay.where("__n > 1").dropDuplicates(["doc_id", "text"])
+    return stay.where("__n = 1").unionByName(again).select(*docs.columns)
