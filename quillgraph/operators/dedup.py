@@ -7,7 +7,9 @@ neighbour leads, its later neighbours follow; a chain of n keys needs up to n ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
@@ -16,8 +18,6 @@ from quillgraph.plans.shared import cut
 
 def keyed(entities: DataFrame) -> DataFrame:
     """entities with key and bucket (smallest ord of its key)."""
-    from pyspark.sql import Window
-
     name = F.coalesce(F.nullif(F.col("id"), F.lit("")), F.nullif(F.col("name"), F.lit("")), F.lit("")) if "id" in entities.columns else F.coalesce("name", F.lit(""))
     k = entities.withColumn("key", tx.key(name))
     return k.withColumn("bucket", F.min("ord").over(Window.partitionBy("key")))
@@ -65,10 +65,46 @@ def leaders(keys: DataFrame, least: float = 0.9) -> DataFrame:
             return done
 
 
-def clustered(entities: DataFrame, least: float = 0.9) -> DataFrame:
+def leaders_asking(entities: DataFrame, ask: Callable[[dict, dict], bool], least: float = 0.9, band: float = 0.1, most: int = 25) -> DataFrame:
+    """(bucket, leader) as leaders(), but pairs within `band` below the threshold are put to `ask`, at most `most` of them.
+
+    The budget is spent in scan order, so this one is a loop on the driver: over the similar pairs only, and over the merged
+    entities of those that are asked about. For entity sets of one book, with a model at hand.
+    """
+    keys = cut(buckets(entities))
+    tokens = tx.key_tokens
+    near = similar_keys(keys, least - band)
+    a, b = (keys.select(F.col("bucket").alias(n), tokens(F.col("key")).alias(f"t{n}")) for n in "ab")
+    pairs = near.join(a, "a").join(b, "b").select("a", "b", tx.jaccard(F.col("ta"), F.col("tb")).alias("sim")).collect()
+    later: dict[int, list[tuple[int, float]]] = {}
+    for r in sorted(pairs):
+        later.setdefault(r["a"], []).append((r["b"], r["sim"]))
+    close = {x for r in pairs if r["sim"] < least for x in (r["a"], r["b"])}
+    seeds = merged(keyed(entities).withColumn("leader", F.col("bucket")))
+    seen = {r["ord"]: {k: v for k, v in r.asDict().items() if k not in ("ord", "members")} for r in seeds.where(F.col("ord").isin(*close)).collect()} if close else {}
+    lead: dict[int, int] = {}
+    asked = 0
+    for (x,) in keys.select("bucket").orderBy("bucket").collect():
+        if x in lead:
+            continue
+        lead[x] = x
+        for y, sim in later.get(x, ()):
+            if y in lead:
+                continue
+            if sim < least:
+                if asked >= most:
+                    continue
+                asked += 1
+                if not ask(seen[x], seen[y]):
+                    continue
+            lead[y] = x
+    return entities.sparkSession.createDataFrame(sorted(lead.items()), "bucket long, leader long")
+
+
+def clustered(entities: DataFrame, least: float = 0.9, ask: Callable[[dict, dict], bool] | None = None, band: float = 0.1, most: int = 25) -> DataFrame:
     """entities with key, bucket and leader; members of a group are in order of (bucket, ord)."""
     k = keyed(entities)
-    return k.join(leaders(buckets(entities), least), "bucket")
+    return k.join(leaders(buckets(entities), least) if ask is None else leaders_asking(entities, ask, least, band, most), "bucket")
 
 
 def merged(groups: DataFrame) -> DataFrame:

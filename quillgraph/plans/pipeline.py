@@ -146,7 +146,8 @@ def extract_and_link(spark: SparkSession, text: str, instructions: str, s: Setti
     listed = lambda rows: F.lit(model.as_json(rows, "entities", "name", "type", "description", "inputs", "outputs").first()[0])
     translated = replaced(normal, asked(model.translation_prompt(listed(found), english), "translator"))
     normal = cut(normal if translated is normal else normalize.from_answer(translated))
-    groups = cut(dedup.merged(dedup.clustered(normal, s.name_similarity_threshold)))
+    ask = model.merge_judge(llm or model.Failing()) if s.use_llm_deduper else None
+    groups = cut(dedup.merged(dedup.clustered(normal, s.name_similarity_threshold, ask, s.llm_similarity_band, s.llm_deduper_max_checks)))
     kept = cut(normalize.filter_or_all(groups, normalize.fits_task(groups)))
     chosen = replaced(kept, asked(model.filter_prompt(instructions, listed(kept)), "task_filter"))
     chosen = cut(chosen.select("ord", "id", "name", "romanian", "type", "description", "inputs", "outputs"))

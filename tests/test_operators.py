@@ -114,6 +114,20 @@ def test_leaders_equal_greedy(spark, least):
     assert {r["bucket"]: r["leader"] for r in dedup.leaders(df, least).collect()} == greedy(keys, least)
 
 
+def test_borderline_names_are_asked_about(spark):
+    names = ["a b c d", "a b c e", "x", "a b c d e"]
+    e = normalize.normalized(entities(spark, [(n, "t", "", (), ()) for n in names]))
+    asked = []
+
+    def ask(a, b):
+        asked.append((a["id"], b["id"]))
+        return b["id"] == "a_b_c_d_e"
+
+    got = {r["bucket"]: r["leader"] for r in dedup.leaders_asking(e, ask, 0.9, 0.31).collect()}
+    assert asked == [("a_b_c_d", "a_b_c_e"), ("a_b_c_d", "a_b_c_d_e")] and got == {0: 0, 1: 1, 2: 2, 3: 0}
+    assert {r["leader"] for r in dedup.leaders_asking(e, ask, 0.9, 0.31, most=0).collect()} == {0, 1, 2, 3}
+
+
 def test_merge(spark):
     e = entities(spark, [("B a", "x", "same", ("q", "p"), ("o",)), ("a B", "y", "same", ("p", "r"), ()), ("c", "z", None, (), ())])
     got = {r["ord"]: r for r in dedup.merged(dedup.clustered(normalize.normalized(e))).collect()}
