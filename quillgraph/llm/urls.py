@@ -16,19 +16,29 @@ BUCKETS = 4096
 #: Rules and labelled URLs are literals of the plan; more of either is refused.
 MOST_RULES, MOST_LABELS = 2000, 500
 STEPS, RATE, RIDGE = 150, 0.5, 0.01
+#: Log odds from which a URL is blocked (probability 0.88): blocking a clean host costs more than letting one through.
+BLOCK_FROM = 2.0
 
 #: (action, host, path): longest fitting host and path wins.
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
-#: The small labelled URL table: hosts by kind; every host comes with two of the paths below.
-BAD_HOSTS = "cheap-meds.biz buy-pills-now.com pillstore.net casino-royal.com online-casino.net win-big-casino.org free-spins.net freebets.co bets-online.com best-betting.net spam-links.org linkfarm.net spamfarm.info seo-farm.biz ad-tracker.net ads.clicknet.com track-ads.io adserver.biz tracking-pixel.net popunder.click payday-loans.biz quick-cash.info cheap-replica.shop free-viagra.net poker-win.com lottery-winner.org jackpot-slots.net hot-deals-cheap.biz xxx-tube.net adult-cams.net free-prizes.win cheap-pharmacy.info".split()
-GOOD_HOSTS = "en.wikipedia.org www.nature.com docs.python.org news.bbc.co.uk blog.mozilla.org www.museum.fr library.uni-bonn.de www.gutenberg.org arxiv.org www.nasa.gov m.lemonde.fr www.zeit.de elpais.es forum.ubuntu.com www.debian.org history.stanford.edu www.bnf.fr maps.city.gov recipes.kitchen.org www.thetimes.com weather.service.net sport.daily.net www.gardening.org music.conservatory.edu www.health.gov photo.nature.org www.theatre.de www.station.net another.org blog.tension.net www.thing.com mother.org".split()
-PATHS = ["/en/1024", "/fr/77.html", "/de/3301/", "/es/512", "/en/90871.html", "/index.html", "/", "/fr/40412/"]
+#: The small labelled URL table: names by kind, each under two hosts with two paths.
+BAD_NAMES = "cheap-meds buy-pills pill-store casino-royal online-casino big-casino-win free-spins freebets bets-online best-betting spam-links link-farm spamfarm seo-farm ad-tracker ads-click track-ads adserver tracking-pixel popunder payday-loans quick-cash cheap-replica free-viagra poker-win lottery-winner jackpot-slots cheap-deals xxx-tube adult-cams free-prizes cheap-pharmacy adult-dating free-porn sex-chat win-money easy-money miracle-diet crypto-bonus free-followers".split()
+GOOD_NAMES = "wikipedia nature python news mozilla museum library gutenberg archive nasa lemonde zeitung elpais forum debian history national maps recipes thetimes weather sport gardening music health photo theatre station another tension thing mother brother father nation motion action teaching learning reading writing running morning evening garden kitchen school university college science research journal letters gazette heritage harbour mountain river village travel".split()
+BEFORE = ["", "www.", "blog.", "m."]
+AFTER = [".com", ".example.net", ".org", ".example.com", ".net", ".example.org"]
+PATHS = ["/en/1024", "/fr/77.html", "/de/3301/", "/es/512", "/index.html"]
 
 
 def seeds() -> list[tuple[str, float]]:
-    """The labelled table: URL and 1 for block, 0 for allow; both kinds use the same paths, so only hosts tell them apart."""
-    return [(f"https://{h}{PATHS[(2 * i + k) % len(PATHS)]}", y) for y, hosts in ((1.0, BAD_HOSTS), (0.0, GOOD_HOSTS)) for i, h in enumerate(hosts) for k in (0, 1)]
+    """The labelled table: URL and 1 for block, 0 for allow; both kinds go through the same beginnings, endings and paths, so
+    only names tell them apart."""
+    out = []
+    for y, names in ((1.0, BAD_NAMES), (0.0, GOOD_NAMES)):
+        for i, name in enumerate(names):
+            for k in (2 * i, 2 * i + 1):
+                out.append((f"https://{BEFORE[k % 4]}{name}{AFTER[(i + 3 * k) % 6]}{PATHS[k % 5]}", y))
+    return out
 
 
 def host(url: Column) -> Column:
@@ -89,7 +99,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, lab
     """page_id, host, path, rule, verdict, score for every row, in one pass without a shuffle; only id and url are read.
 
     The score is the regression's log odds for block (its offset alone where host and path are empty or short); the
-    verdict is the rule's, else block if the score is above 0. Null urls and urls without :// have empty host and path.
+    verdict is the rule's, else block from BLOCK_FROM on. Null urls and urls without :// have empty host and path.
     """
     weights, offset = train(pages.sparkSession, seeds() if labelled is None else labelled)
     parts = pages.select(pages[id_].alias("page_id"), host(pages[url]).alias("host"), path(pages[url]).alias("path"))
@@ -97,7 +107,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, lab
     w = F.lit(weights)
     score = F.lit(offset) + F.aggregate(g, F.lit(0.0), lambda s, b: s + F.get(w, b)) / F.sqrt(F.greatest(F.size(g), F.lit(1)).cast("double"))
     parts = parts.withColumn("__r", rule(F.col("host"), F.col("path"), RULES if rules is None else rules)).withColumn("score", score)
-    return parts.select("page_id", "host", "path", F.col("__r.text").alias("rule"), F.coalesce("__r.action", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score")
+    return parts.select("page_id", "host", "path", F.col("__r.text").alias("rule"), F.coalesce("__r.action", F.when(F.col("score") >= BLOCK_FROM, "block").otherwise("allow")).alias("verdict"), "score")
 
 
 def oracle() -> str:
@@ -134,5 +144,5 @@ q AS (
   SELECT e.page_id, host, path, CASE {cases} END AS rule,
          (SELECT list_sum(a) FROM f) + coalesce(z.t, 0) / sqrt(CAST(greatest(len(e.g), 1) AS DOUBLE)) AS score
   FROM e LEFT JOIN z USING (page_id))
-SELECT page_id, host, path, rule, coalesce(CASE rule {acts} END, CASE WHEN score > 0 THEN 'block' ELSE 'allow' END) AS verdict FROM q
+SELECT page_id, host, path, rule, coalesce(CASE rule {acts} END, CASE WHEN score >= {BLOCK_FROM} THEN 'block' ELSE 'allow' END) AS verdict FROM q
 """
