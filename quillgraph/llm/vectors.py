@@ -47,61 +47,23 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def candidates(a, b, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of two quantised tiles whose cosine may reach `least`.
 
-    |x.y - x'.y'| <= |x| |y - y'| + |x - x'| |y'| <= e_y + e_x (1 + e_y), for unit x, y with quantised x', y'. The integer
-    products are exact in float32 up to 1,040 components (127 * 127 * 1,040 < 2**24) and in float64 beyond.
+    |x.y - x'.y'| <= |x| |y - y'| + |x - x'| |y'| <= e_y + e_x (1 + e_y), for unit x, y with quantised x', y'. All products
+    are first held against the bound of the tile's largest errors, what passes against the bound of its own pair; both
+    allow 1e-5 for products of int8 values times their scale being summed in float32 (over 4,096 components: float64).
     """
     (qa, sa, ea), (qb, sb, eb) = a, b
-    kind = np.float32 if qa.shape[1] <= 1040 else np.float64
-    p = qa.astype(kind) @ qb.astype(kind).T
-    slack = (ea[:, None] * (1 + eb) + eb + 1e-9).astype(kind)
-    # compared in units of the products: p * sa * sb >= least - slack, a little widened for the rounding of the bound itself
-    bound = ((least - slack) / (sa[:, None] * sb)).astype(kind)
-    return np.nonzero(p >= bound - np.abs(bound) * 1e-5)
-
-
-def compared(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Links counted for each home, and few links that keep each class together; rows sorted by tile, homes first."""
-    key, ids, own, sums, counts = None, None, None, None, None
-
-    def flush():
-        if key is not None and len(ids) and sums.any():
-            n = np.flatnonzero(sums)
-            return pa.RecordBatch.from_arrays([pa.array(ids[n]), pa.nulls(len(n), pa.int64()), pa.array(sums[n].astype(np.int64))], ["a", "b", "n"])
-        return None
-
-    for b in batches:
-        cell, tile, visits, id_, many = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        flat = b.column(5).flatten().to_numpy(zero_copy_only=False)
-        dims = np.diff(b.column(5).offsets.to_numpy())
-        begin = np.concatenate([[0], np.cumsum(dims)])
-        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1])) + 1
-        edges: list[tuple[int, int]] = []
-        for s, e in zip([0, *cuts], [*cuts, len(cell)]):
-            x = unit(flat[begin[s] : begin[e]].reshape(e - s, -1))
-            home = ~visits[s:e]
-            if (cell[s], tile[s]) != key:
-                if (done := flush()) is not None:
-                    yield done
-                key, ids, own, sums, counts = (cell[s], tile[s]), np.zeros(0, np.int64), np.zeros((0, x.shape[1])), np.zeros(0), np.zeros(0, np.int64)
-            if home.any():
-                fresh = len(ids)
-                ids, own, sums = np.concatenate([ids, id_[s:e][home]]), np.concatenate([own, x[home]]), np.concatenate([sums, np.zeros(home.sum())])
-                if fresh:  # the new homes meet the earlier ones here, the earlier ones meet them below
-                    late = sums[fresh:]
-                    _count(own[fresh:], ids[fresh:], late, own[:fresh], ids[:fresh], counts[:fresh], least, edges)
-                    sums[fresh:] = late
-                counts = np.concatenate([counts, many[s:e][home]])
-            if len(ids):
-                _count(own, ids, sums, x, id_[s:e], many[s:e], least, edges)
-        if edges:
-            u, v = np.array(sorted(set(edges)), np.int64).T
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int64())], ["a", "b", "n"])
-    if (done := flush()) is not None:
-        yield done
-
-
-def _count(own, ids, sums, x, others, many, least, edges) -> None:
-    """Adds to sums how many rows of x each home links with; to edges, of the links of each that came those that join homes."""
+    if not len(ea) or not len(eb):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = np.float32 if qa.shape[1] <= 4096 else np.float64
+    p = (qa * sa[:, None]).astype(kind) @ (qb * sb[:, None]).astype(kind).T
+    at = np.flatnonzero(p.ravel() >= kind(least - ea.max() * (1 + eb.max()) - eb.max() - 1e-5))
+    i, j = np.divmod(at, len(eb))
+    fine = p.ravel()[at] >= least - ea[i] * (1 + eb[j]) - eb[j] - 1e-5
+    return i[fine], j[fine]
+
+
+def linked(own, ids, x, others, least: float, edges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of homes and rows of x that link; to edges, those of these links that join homes or bring in a row."""
     quick = quantised(own)
     root = list(range(len(ids)))
 
@@ -110,15 +72,16 @@ def _count(own, ids, sums, x, others, many, least, edges) -> None:
             root[i] = i = root[root[i]]
         return i
 
+    out = []
     for k in range(0, len(x), BATCH):
         part = x[k : k + BATCH]
         i, j = candidates(quick, quantised(part), least)
-        if not len(i):
+        true = [np.einsum("nd,nd->n", own[i[c : c + 65536]], part[j[c : c + 65536]]) for c in range(0, len(i), 65536)]
+        if not true:
             continue
-        true = np.concatenate([np.einsum("nd,nd->n", own[i[c : c + 65536]], part[j[c : c + 65536]]) for c in range(0, len(i), 65536)])
-        ok = (true >= least) & (ids[i] != others[k + j])
+        ok = (np.concatenate(true) >= least) & (ids[i] != others[k + j])
         i, j = i[ok], j[ok]
-        np.add.at(sums, i, many[k + j])
+        out.append((i, k + j))
         order = np.argsort(j, kind="stable")
         last = lead = -1
         for h, y in zip(i[order].tolist(), j[order].tolist()):
@@ -128,10 +91,58 @@ def _count(own, ids, sums, x, others, many, least, edges) -> None:
             elif (p := find(lead)) != (q := find(h)):
                 root[q] = p
                 edges.append((int(others[k + y]), int(ids[h])))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _counts(ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(n)
+    return pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.nulls(len(at), pa.int64()), pa.array(np.rint(n[at]).astype(np.int64))], ["a", "b", "n"])
+
+
+def compared(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Linked rows counted at both ends, and few links that keep each class together; rows sorted by tile, homes first.
+
+    Each pair meets in one tile only: there one is a home and the other a home or a visitor.
+    """
+    key, ids, own, many, sums = None, np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0), np.zeros(0)
+    for b in batches:
+        cell, tile, visits, id_, times = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        flat = b.column(5).flatten().to_numpy(zero_copy_only=False)
+        begin = np.concatenate([[0], np.cumsum(np.diff(b.column(5).offsets.to_numpy()))])
+        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1])) + 1
+        edges: list[tuple[int, int]] = []
+        for s, e in zip([0, *cuts], [*cuts, len(cell)]):
+            x = unit(flat[begin[s] : begin[e]].reshape(e - s, -1))
+            if (cell[s], tile[s]) != key:
+                if sums.any():
+                    yield _counts(ids, sums)
+                key, ids, own, many, sums = (cell[s], tile[s]), np.zeros(0, np.int64), np.zeros((0, x.shape[1])), np.zeros(0), np.zeros(0)
+            home = ~visits[s:e]
+            if home.any():
+                new, new_ids, new_many = x[home], id_[s:e][home], times[s:e][home]
+                i, j = linked(new, new_ids, new, new_ids, least, edges)
+                new_sums = np.bincount(i, new_many[j], len(new)).astype(np.float64)  # without links it would be of integers
+                i, j = linked(own, ids, new, new_ids, least, edges)
+                sums += np.bincount(i, new_many[j], len(ids))
+                new_sums += np.bincount(j, many[i], len(new))
+                ids, own, many, sums = np.concatenate([ids, new_ids]), np.concatenate([own, new]), np.concatenate([many, new_many]), np.concatenate([sums, new_sums])
+            if len(ids) and not home.all():
+                come, come_many = id_[s:e][~home], times[s:e][~home]
+                i, j = linked(own, ids, x[~home], come, least, edges)
+                if len(i):
+                    sums += np.bincount(i, come_many[j], len(ids))
+                    yield _counts(come, np.bincount(j, many[i], len(come)))
+        if edges:
+            u, v = np.array(sorted(set(edges)), np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int64())], ["a", "b", "n"])
+    if sums.any():
+        yield _counts(ids, sums)
 
 
 def links(nodes: DataFrame, least: float = 0.95) -> DataFrame:
-    """a, b, n from distinct vectors (id, many, vector): n rows linked with a (b null), or a link a-b (n null)."""
+    """a, b, n from distinct vectors (id, many, vector): n more rows linked with a (b null), or a link a-b (n null)."""
     spark = nodes.sparkSession
     arrow_limits(spark, rows=BATCH)
     sizes = nodes.groupBy(F.size("vector").alias("d")).count().collect()
@@ -157,6 +168,7 @@ def links(nodes: DataFrame, least: float = 0.95) -> DataFrame:
                 best = near.argmax(1)
                 apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[best]
                 goes = near[np.arange(len(x)), best][:, None] - near <= reach * apart + 1e-9
+                goes &= np.arange(len(pivots)) < best[:, None]  # of two cells, the vectors of the later visit the earlier
                 goes[np.arange(len(x)), best] = True
                 i, c = np.nonzero(goes)
                 for k in range(0, len(i), BATCH):
@@ -168,8 +180,8 @@ def links(nodes: DataFrame, least: float = 0.95) -> DataFrame:
     parts = F.create_map(*[F.lit(x) for c, n in homes.items() for x in (c, -(-n // TILE))]) if homes else F.create_map(F.lit(""), F.lit(1))
     n = F.coalesce(F.element_at(parts, F.col("cell")), F.lit(1))
     mine = F.pmod(F.xxhash64("id"), n).cast("int")
-    # every tile of a cell gets its own homes, and all others of the cell as visitors
-    tiles = dealt.withColumn("tile", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("visits", F.col("visits") | (F.col("tile") != mine))
+    # a tile gets its own homes and, as visitors, the homes of later tiles of its cell and all visitors of the cell
+    tiles = dealt.withColumn("tile", F.explode(F.sequence(F.lit(0), F.when(F.col("visits"), n - 1).otherwise(mine)))).withColumn("visits", F.col("visits") | (F.col("tile") != mine))
     tiles = tiles.select("cell", "tile", "visits", "id", "many", "vector").repartition("cell", "tile").sortWithinPartitions("cell", "tile", "visits")
     return tiles.mapInArrow(lambda it: compared(it, least), "a long, b long, n long")
 

@@ -85,6 +85,31 @@ def test_tiles(spark, tile, monkeypatch):
     assert got == {i: (sum(i in p for p in pairs), roots[i]) for i in range(90)}
 
 
+def test_homes_over_several_batches():
+    """A tile whose homes and visitors come in many batches counts every link once at both ends."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(15)
+    x = np.repeat(rng.normal(size=(6, 8)), 5, axis=0) + rng.normal(scale=0.02, size=(30, 8))
+    rows = [("c", 0, i >= 20, i, 1 + i % 3, x[i].tolist()) for i in range(30)] + [("d", 0, False, 99, 1, rng.normal(size=8).tolist())]
+    kinds = [pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+    parts = [pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows[i : i + 4]), kinds)], list("cvtimx")) for i in range(0, len(rows), 4)]
+    n = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {}
+    for a in range(20):
+        for b in range(30):
+            if a != b and n[a] @ n[b] >= 0.95:
+                want[a] = want.get(a, 0) + 1 + b % 3
+                if b >= 20:
+                    want[b] = want.get(b, 0) + 1 + a % 3
+    got = {}
+    for b in vectors.compared(iter(parts), 0.95):
+        for a, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+            if k is not None:
+                got[a] = got.get(a, 0) + k
+    assert got == want
+
+
 def test_error_bound():
     rng = np.random.default_rng(4)
     x = vectors.unit(rng.normal(size=(300, 64)))
