@@ -1,6 +1,6 @@
 """Near-duplicate entities: buckets by key, greedy leaders by name similarity, ordered merge.
 
-The leader rule is sequential in the reference: keys in order of appearance, an unused key leads and takes every later
+The leader rule is sequential as it is stated: keys in order of appearance, an unused key leads and takes every later
 unused key similar to it. Here it runs in rounds that give the same result: an undecided key without an earlier undecided
 neighbour leads, its later neighbours follow; a chain of n keys needs up to n rounds, ordinary names need one to three.
 """
