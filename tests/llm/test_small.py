@@ -391,3 +391,28 @@ def test_suffix_tree(spark):
     assert sum(r["score"] for r in held) > 1.05 * sum(r["base_score"] for r in held)  # words drawn alone: nothing beats counts of words by much
     assert suffixtree.score(df.limit(0), F.lit(True), ("doc_id",)).count() == 0
     assert suffixtree.score(df, F.lit(False), ("doc_id",)).count() == len(rows)
+
+
+def test_suffix_tree_keeps_rare_contexts(spark):
+    """Contexts far below a share of 1e-5 are in the tree, and count whether they are broadcast or joined."""
+    rng = random.Random(15)
+    odd = ["".join(rng.choice("bdfgkmpvz") for _ in range(9)) for _ in range(40)]
+    rows = [(i, text(rng, 900), "a") for i in range(300)] + [(400 + i, " ".join(odd[i % 8 * 5 :][:5]), "a") for i in range(40)]
+    df = docs(spark, rows)
+    ctx = {}
+    for i, t, _ in rows:
+        s = suffixtree._PAD + suffixtree.symbols(suffixtree.tokens(t))
+        for p in range(suffixtree.DEPTH, len(s) if i % 5 else 0):
+            for k in range(suffixtree.DEPTH + 1):
+                d = ctx.setdefault(s[p - k : p], {})
+                d[s[p]] = d.get(s[p], 0) + 1
+    n = {c: sum(d.values()) for c, d in ctx.items()}
+    good = {c for c in ctx if c and sum(v * math.log(v / n[c] / (ctx[c[1:]][a] / n[c[1:]])) for a, v in ctx[c].items()) >= suffixtree.GAIN}
+    assert sum(n[c] < 1e-5 * n[b""] for c in good) > 10
+    tree = suffixtree.SuffixTree({c[k:]: (n[c[k:]], ctx[c[k:]]) for c in good | {b""} for k in range(len(c) + 1)})
+    want = {i: tree.score(suffixtree.tokens(t)) for i, t, _ in rows if i >= 400 or i < 3}
+    for most in (10**6, 60, 0):
+        got = {r["doc_id"]: r["score"] for r in suffixtree.score(df, F.col("doc_id") % 5 != 0, most=most).collect()}
+        assert len(got) == len(rows)
+        for i, x in want.items():
+            assert got[i] == pytest.approx(x), (most, i)
