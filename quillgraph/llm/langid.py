@@ -47,7 +47,11 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letters and blanks of all texts in one array, where each text starts, and whether each holds a letter."""
     low = [x.lower() + "  " for x in texts]
     cps = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
-    seen = np.where(cps < 1 << 16, _letters()[np.minimum(cps, 0xFFFF)], cps)
+    seen = _letters()[np.minimum(cps, 0xFFFF)]
+    high = np.flatnonzero(cps >= 1 << 16)
+    if len(high):
+        each, at = np.unique(cps[high], return_inverse=True)
+        seen[high] = np.array([c if chr(c).isalpha() else 32 for c in each.tolist()], np.uint32)[at]
     starts = np.zeros(len(low) + 1, np.int64)
     np.cumsum([len(x) for x in low], out=starts[1:])
     return seen, starts, np.add.reduceat(seen != 32, starts[:-1]) > 0 if len(low) else np.zeros(0, bool)

@@ -353,6 +353,15 @@ def test_long_fragments_merge_alike():
         assert b.merge(s) == b.merge_long(s)
 
 
+def test_language_letters_above_the_first_plane():
+    """Emoji are no letters; letters of the higher planes are."""
+    seen, _, letter = langid.grams(["\U0001f600\U0001f601 \U0001f680", "\U0001f600a", "\U00010330\U00020000"])
+    assert letter.tolist() == [False, True, True]
+    assert 0x1F600 not in seen and 0x10330 in seen and 0x20000 in seen
+    m = langid.LanguageModel(("de", "en"), np.zeros((1 << 15, 2), np.float32), np.zeros(2), 1.0)
+    assert langid.predict(["\U0001f600"], m) == ([langid.UNDETERMINED], [0.0])
+
+
 def test_suffix_tree(spark):
     rng = random.Random(14)
     rows = [(i + 100, text(rng, 80), "a") for i in range(60)] + ODD
