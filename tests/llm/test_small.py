@@ -362,66 +362,110 @@ def test_language_letters_above_the_first_plane():
     assert langid.predict(["\U0001f600"], m) == ([langid.UNDETERMINED], [0.0])
 
 
-def test_suffix_tree(spark):
-    rng = random.Random(14)
-    rows = [(i + 100, text(rng, 80), "a") for i in range(60)] + ODD
-    df = docs(spark, rows).withColumn("held", F.coalesce(F.col("doc_id") % 5 == 0, F.lit(True)))
-    got = suffixtree.score(df, ~F.col("held"), ("doc_id", "held"), common=0.02).collect()
-    assert len(got) == len(rows)
-    counts, total = {}, 0
-    train = [t for i, t, _ in rows if i is not None and i % 5]
+def plain_tree(train, depth, least, gain, common):
+    """score(text) of the tree by plain counting: a word that occurs too seldom is the symbol None."""
+    counts = {}
     for t in train:
         for w in suffixtree.tokens(t):
             counts[w] = counts.get(w, 0) + 1
-            total += 1
-    by_id = {}
-    for r in got:
-        by_id.setdefault(r["doc_id"], r)
-    for i, t, _ in rows:
-        ws = suffixtree.tokens(t)
-        r = by_id[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(ws), sum(w in counts for w in ws), total)
-        assert r["base_score"] == pytest.approx(sum(math.log10((counts.get(w, 0) + 1) / (total + len(counts) + 1)) for w in ws))
-    # the tree by plain counting
-    ctx = {}
+    n, v = sum(counts.values()), len(counts)
+    symbols = {w for w, c in counts.items() if c >= common * n or not w}
+
+    def root(w):
+        return (counts.get(w, 0) + 1) / (n + v + 1)
+
+    rare = 1 - sum(map(root, symbols))
+
+    def seen(t):
+        return [None, b"", *(w if w in symbols else None for w in suffixtree.tokens(t))]
+
+    after = {}
     for t in train:
-        s = suffixtree._PAD + suffixtree.symbols(suffixtree.tokens(t))
-        for p in range(suffixtree.DEPTH, len(s)):
-            for k in range(suffixtree.DEPTH + 1):
-                d = ctx.setdefault(s[p - k : p], {})
-                d[s[p]] = d.get(s[p], 0) + 1
-    n = {c: sum(d.values()) for c, d in ctx.items()}
-    good = {c for c in ctx if c and n[c] >= suffixtree.LEAST * n[b""] and n[c[1:]] >= suffixtree.LEAST * n[b""] and sum(v * math.log(v / n[c] / (ctx[c[1:]][a] / n[c[1:]])) for a, v in ctx[c].items()) >= suffixtree.GAIN}
-    tree = suffixtree.SuffixTree({c[k:]: (n[c[k:]], ctx[c[k:]]) for c in good | {b""} for k in range(len(c) + 1)})
-    for i, t, _ in rows:
-        assert by_id[i]["score"] == pytest.approx(tree.score(suffixtree.tokens(t)))
-    assert sum(tree.probability(b"the ", a) for a in range(256)) == pytest.approx(1.0)
+        s = seen(t)
+        for i in range(2, len(s)):
+            for k in range(1, depth + 1):
+                c = tuple(s[max(i - k, 0) : i])
+                if len(c) == k and None not in c:
+                    d = after.setdefault(c, {})
+                    d[s[i]] = d.get(s[i], 0) + 1
+    kept = {}
+
+    def p(c, a):
+        if not c:
+            return rare if a is None else root(a)
+        up = p(c[1:], a)
+        if c not in kept:
+            return up
+        d = after[c]
+        return (max(d.get(a, 0) - 1, 0) + len(d) * up) / sum(d.values())
+
+    for k in range(1, depth + 1):
+        level = {}
+        for c, d in after.items():
+            if len(c) == k and (k == 1 or sum(d.values()) >= least):
+                m = sum(d.values())
+                if sum(x * math.log((x - 1 + len(d) * p(c[1:], a)) / m / p(c[1:], a)) for a, x in d.items()) >= gain:
+                    level[c] = True
+        kept.update(level)
+
+    def score(t):
+        s, total = seen(t), 0.0
+        for i, w in enumerate(suffixtree.tokens(t), 2):
+            c = tuple(s[max(0, i - depth) : i])
+            while None in c:
+                c = c[c.index(None) + 1 :]
+            total += math.log10(root(w)) + math.log10(p(c, s[i]) / p((), s[i]))
+        return total
+
+    return counts, n, kept, p, score
+
+
+@pytest.mark.parametrize("common,depth", [(0.0, 3), (0.004, 2), (0.02, 1)])
+def test_suffix_tree(spark, common, depth):
+    rng = random.Random(14)
+    phrases = [[rng.choice(WORDS) + str(rng.randrange(12)) for _ in range(6)] for _ in range(12)] + [["one", "mid", "end", "left"], ["two", "mid", "end", "right"]] * 4
+    rows = [(i + 100, " ".join(w for _ in range(12) for w in (rng.choice(phrases) if rng.random() < 0.6 else text(rng, 3).split())), "a") for i in range(70)] + ODD
+    df = docs(spark, rows).withColumn("held", F.coalesce(F.col("doc_id") % 5 == 0, F.lit(True)))
+    counts, total, kept, p, plain = plain_tree([t for i, t, _ in rows if i is not None and i % 5], depth, 8, 10.0, common)
+    assert {len(c) for c in kept} == set(range(1, depth + 1))
+    assert sum(p(max(kept, key=len), a) for a in [*(w for w in counts if counts[w] >= common * total or not w), None]) == pytest.approx(1.0)
+    for most in (1 << 20, 40, 0):
+        got = suffixtree.score(df, ~F.col("held"), ("doc_id", "held"), depth=depth, common=common, most=most).collect()
+        assert len(got) == len(rows)
+        by_id = {}
+        for r in got:
+            by_id.setdefault(r["doc_id"], r)
+        for i, t, _ in rows:
+            ws, r = suffixtree.tokens(t), by_id[i]
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(ws), sum(w in counts for w in ws), total)
+            assert r["base_score"] == pytest.approx(sum(math.log10((counts.get(w, 0) + 1) / (total + len(counts) + 1)) for w in ws))
+            assert r["score"] == pytest.approx(plain(t), rel=1e-5), (most, i)
     held = [r for r in got if r["held"] and r["doc_id"] is not None and r["doc_id"] >= 100]
-    assert sum(r["score"] for r in held) > 1.05 * sum(r["base_score"] for r in held)  # words drawn alone: nothing beats counts of words by much
-    assert suffixtree.score(df.limit(0), F.lit(True), ("doc_id",)).count() == 0
-    assert suffixtree.score(df, F.lit(False), ("doc_id",)).count() == len(rows)
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_suffix_tree_keeps_rare_contexts(spark):
-    """Contexts far below a share of 1e-5 are in the tree, and count whether they are broadcast or joined."""
-    rng = random.Random(15)
-    odd = ["".join(rng.choice("bdfgkmpvz") for _ in range(9)) for _ in range(40)]
-    rows = [(i, text(rng, 900), "a") for i in range(300)] + [(400 + i, " ".join(odd[i % 8 * 5 :][:5]), "a") for i in range(40)]
+def test_suffix_tree_on_odd_tables(spark, monkeypatch):
+    """Empty tables, nothing to learn from, and texts cut into small runs of places."""
+    rng = random.Random(16)
+    rows = [(i, text(rng, 200), "a") for i in range(30)]
     df = docs(spark, rows)
-    ctx = {}
-    for i, t, _ in rows:
-        s = suffixtree._PAD + suffixtree.symbols(suffixtree.tokens(t))
-        for p in range(suffixtree.DEPTH, len(s) if i % 5 else 0):
-            for k in range(suffixtree.DEPTH + 1):
-                d = ctx.setdefault(s[p - k : p], {})
-                d[s[p]] = d.get(s[p], 0) + 1
-    n = {c: sum(d.values()) for c, d in ctx.items()}
-    good = {c for c in ctx if c and sum(v * math.log(v / n[c] / (ctx[c[1:]][a] / n[c[1:]])) for a, v in ctx[c].items()) >= suffixtree.GAIN}
-    assert sum(n[c] < 1e-5 * n[b""] for c in good) > 10
-    tree = suffixtree.SuffixTree({c[k:]: (n[c[k:]], ctx[c[k:]]) for c in good | {b""} for k in range(len(c) + 1)})
-    want = {i: tree.score(suffixtree.tokens(t)) for i, t, _ in rows if i >= 400 or i < 3}
-    for most in (10**6, 60, 0):
-        got = {r["doc_id"]: r["score"] for r in suffixtree.score(df, F.col("doc_id") % 5 != 0, most=most).collect()}
-        assert len(got) == len(rows)
-        for i, x in want.items():
-            assert got[i] == pytest.approx(x), (most, i)
+    assert suffixtree.score(df.limit(0), F.lit(True)).count() == 0
+    none = suffixtree.score(df, F.lit(False)).collect()
+    assert len(none) == 30 and all(r["n_known"] == r["train_tokens"] == 0 and r["score"] == r["base_score"] == 0 for r in none)
+    seq, starts = suffixtree.stream([[2, 3, 1], [4, 1], [1]])
+    whole = [list(suffixtree.pieces(seq, starts, 3))]
+    monkeypatch.setattr(suffixtree, "_CHUNK", 4)
+    cut = list(suffixtree.pieces(seq, starts, 3))
+    for k in (1, 3):
+        assert np.concatenate([c[k] for c in cut]).tolist() == whole[0][0][k].tolist()
+    for k in range(3):
+        assert np.concatenate([c[2][k] for c in cut]).tolist() == whole[0][0][2][k].tolist()
+
+
+def test_table_of_numbers():
+    rng = np.random.default_rng(17)
+    keys = np.unique(rng.integers(-(1 << 62), 1 << 62, 5000))
+    keys = np.concatenate([keys, [0, 1 << 20, 2 << 20, 3 << 20]])
+    t = suffixtree.Table(keys, np.arange(len(keys)))
+    value, known = t.get(np.concatenate([keys, keys + 1]))
+    assert known[: len(keys)].all() and not known[len(keys) :].any() and (value[: len(keys)] == np.arange(len(keys))).all()
