@@ -7,6 +7,7 @@ that many links share.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,28 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
             break
         before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def merged_labels(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spreads the least label over the links left[i]-right[j], in place, in whole arrays; returns which labels fell together.
+
+    Labels name classes as far as they are known; the pairs returned (old, new), few even for dense links, join these classes.
+    """
+    old, new = [], []
+    while True:
+        apart = left[i] != right[j]
+        if not apart.any():
+            break
+        i, j = i[apart], j[apart]
+        low = np.minimum(left[i], right[j])
+        for labels, at in ((left, i), (right, j)):
+            least = labels.copy()
+            np.minimum.at(least, at, low)
+            changed = np.flatnonzero(least != labels)
+            old.append(labels[changed])
+            new.append(least[changed])
+            labels[changed] = least[changed]
+    if not old:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pairs = np.unique(np.stack([np.concatenate(old), np.concatenate(new)], 1), axis=0)
+    return pairs[:, 0], pairs[:, 1]

@@ -70,10 +70,11 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("tile", [8, 2048])
-def test_tiles(spark, tile, monkeypatch):
-    """Small tiles and several pivots find what one tile finds."""
-    monkeypatch.setattr(vectors, "TILE", tile)
+@pytest.mark.parametrize("cell,block", [(2_000, 65_536), (4, 65_536), (10, 7)])
+def test_tiles(spark, cell, block, monkeypatch):
+    """Several pivots and cells in parts find what one tile finds."""
+    monkeypatch.setattr(vectors, "CELL", cell)
+    monkeypatch.setattr(vectors, "BLOCK", block)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(90, 8))
     x[45:] = x[:45] + rng.normal(scale=0.12, size=(45, 8))
@@ -85,38 +86,82 @@ def test_tiles(spark, tile, monkeypatch):
     assert got == {i: (sum(i in p for p in pairs), roots[i]) for i in range(90)}
 
 
-def test_homes_over_several_batches():
-    """A tile whose homes and visitors come in many batches counts every link once at both ends."""
+def tile_rows(x, ids, many, one, two, second):
     import pyarrow as pa
 
+    q, r, scale, e, f = vectors.quantised(vectors.unit(x))
+    n = len(x)
+    full = lambda v, k: pa.array([v] * n, k)
+    return pa.RecordBatch.from_arrays([full(one, pa.int64()), full(two, pa.int64()), full(second, pa.bool_()), pa.array(ids), pa.array(many), pa.array(scale), pa.array(e), pa.array(f), vectors._binary(q), vectors._binary(r)], list("abcdefghij"))
+
+
+@pytest.mark.parametrize("step", [1 << 21, 40])
+def test_tiles_over_several_batches(step, monkeypatch):
+    """A tile whose two blocks come in many batches counts every link once at both ends and joins what it links."""
+    monkeypatch.setattr(vectors, "PRODUCTS", step)
     rng = np.random.default_rng(15)
     x = np.repeat(rng.normal(size=(6, 8)), 5, axis=0) + rng.normal(scale=0.02, size=(30, 8))
-    rows = [("c", 0, i >= 20, i, 1 + i % 3, x[i].tolist()) for i in range(30)] + [("d", 0, False, 99, 1, rng.normal(size=8).tolist())]
-    kinds = [pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
-    parts = [pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows[i : i + 4]), kinds)], list("cvtimx")) for i in range(0, len(rows), 4)]
+    ids, many = np.arange(30), 1 + np.arange(30) % 3
     n = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = {}
-    for a in range(20):
-        for b in range(30):
-            if a != b and n[a] @ n[b] >= 0.95:
-                want[a] = want.get(a, 0) + 1 + b % 3
-                if b >= 20:
+    for second in (0, 1):  # one block with itself, or with a second one
+        parts = [tile_rows(x[i : i + 4], ids[i : i + 4], many[i : i + 4], 3, 3 + second, False) for i in range(0, 20, 4)]
+        if second:
+            parts += [tile_rows(x[i : i + 3], ids[i : i + 3], many[i : i + 3], 3, 4, True) for i in range(20, 30, 3)]
+        want, pairs = {}, []
+        for a in range(20):
+            for b in range(20, 30) if second else range(a + 1, 20):
+                if n[a] @ n[b] >= 0.95:
+                    want[a] = want.get(a, 0) + 1 + b % 3
                     want[b] = want.get(b, 0) + 1 + a % 3
-    got = {}
-    for b in vectors.compared(iter(parts), 0.95):
-        for a, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
-            if k is not None:
-                got[a] = got.get(a, 0) + k
-    assert got == want
-
-
-def test_error_bound():
+                    pairs.append((a, b))
+        got, edges = {}, []
+        for b in vectors.compared(iter(parts), 0.95):
+            for kind, u, v, k in zip(*(c.to_pylist() for c in b.columns)):
+                assert kind < 2  # none of these is near the threshold
+                if kind:
+                    edges.append((u, v))
+                else:
+                    got[u] = got.get(u, 0) + k
+        assert got == want and reach(range(30), edges) == reach(range(30), pairs)
+
+
+@pytest.mark.parametrize("d", [3, 64, 768, 4096])
+def test_error_bound(d):
+    """Pairs on either side of the threshold by far less than float32 can tell, all components positive among them."""
     rng = np.random.default_rng(4)
-    x = vectors.unit(rng.normal(size=(300, 64)))
-    x[150:] = vectors.unit(x[:150] + rng.normal(scale=0.03, size=(150, 64)))
+    x = vectors.unit(np.concatenate([rng.normal(size=(40, d)), rng.random(size=(40, d)), np.ones((1, d)) + 1e-3 * rng.random(size=(20, d))]))
+    least = 0.95
+    for i in range(40):  # partners at the threshold, give or take 1e-7 to 1e-14
+        y = rng.normal(size=d)
+        y -= (y @ x[i]) * x[i]
+        y /= np.linalg.norm(y)
+        c = least + (1 if i % 2 else -1) * 10.0 ** -(7 + i % 8)
+        x[40 + i] = c * x[i] + math.sqrt(1 - c * c) * y
     q = vectors.quantised(x)
-    found = set(zip(*vectors.candidates(q, q, 0.95)))
-    assert {(i, j) for i, j in zip(*np.nonzero(x @ x.T >= 0.95))} <= found
+    # products are exact
+    p = vectors.products(q[0], q[0])
+    assert (p == q[0].astype(np.int64) @ q[0].astype(np.int64).T).all()
+    for e, part in ((q[3], 0), (q[4], q[1] / 254)):
+        assert (np.linalg.norm(x - (q[0] + part) * q[2][:, None], axis=1) <= e).all()
+    i, j, k, m = vectors.judged(q, q, least, True)
+    sure, open_ = set(zip(i.tolist(), j.tolist())), set(zip(k.tolist(), m.tolist()))
+    true = {(a, b) for a in range(len(x)) for b in range(a + 1, len(x)) if math.fsum(x[a] * x[b]) >= least}
+    assert sure <= true <= sure | open_ and not sure & open_ and len(open_ - true) <= 60
+    assert {(a, a + 40) for a in range(40)} <= open_
+
+
+def test_ten_thousand_near_equal_vectors():
+    import time
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=64) + rng.normal(scale=0.02, size=(10_000, 64))
+    began, rows, count = time.time(), 0, {}
+    for b in vectors.compared(iter([tile_rows(x[i : i + 5000], np.arange(i, i + 5000), np.ones(5000, np.int64), 0, 0, False) for i in (0, 5000)]), 0.95):
+        rows += len(b)
+        for kind, a, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist()):
+            if not kind:
+                count[a] = count.get(a, 0) + n
+    assert set(count.values()) == {9_999} and len(count) == 10_000 and rows < 60_000 and time.time() - began < 60
 
 
 def plain_fingerprint(t):
