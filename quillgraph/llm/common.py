@@ -26,7 +26,7 @@ def arrow_limits(spark: SparkSession) -> None:
     Every operator here sets the same two values for the session and leaves them, as its plan may run at any later time.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -407,7 +407,7 @@ def test_language_letters_above_the_first_plane():
     assert langid.predict(["\U0001f600"], m) == ([langid.UNDETERMINED], [0.0])
 
 
-def plain_tree(train, depth, least, gain, common):
+def plain_tree(train, depth, least, seen_from, gain, common):
     """score(text) of the tree by plain counting: a word that occurs too seldom is the symbol None."""
     counts = {}
     for t in train:
@@ -441,15 +441,17 @@ def plain_tree(train, depth, least, gain, common):
         up = p(c[1:], a)
         if c not in kept:
             return up
-        d = after[c]
-        return (max(d.get(a, 0) - 1, 0) + len(d) * up) / sum(d.values())
+        return smoothed(after[c], a, up)
+
+    def smoothed(d, a, up):
+        own = {b: x - 1 for b, x in d.items() if x >= seen_from}
+        return (own.get(a, 0) + (sum(d.values()) - sum(own.values())) * up) / sum(d.values())
 
     for k in range(1, depth + 1):
         level = {}
         for c, d in after.items():
             if len(c) == k and (k == 1 or sum(d.values()) >= least):
-                m = sum(d.values())
-                if sum(x * math.log((x - 1 + len(d) * p(c[1:], a)) / m / p(c[1:], a)) for a, x in d.items()) >= gain:
+                if sum(x * math.log(smoothed(d, a, p(c[1:], a)) / p(c[1:], a)) for a, x in d.items()) >= gain:
                     level[c] = True
         kept.update(level)
 
@@ -471,7 +473,7 @@ def test_suffix_tree(spark, common, depth):
     phrases = [[rng.choice(WORDS) + str(rng.randrange(12)) for _ in range(6)] for _ in range(12)] + [["one", "mid", "end", "left"], ["two", "mid", "end", "right"]] * 4
     rows = [(i + 100, " ".join(w for _ in range(12) for w in (rng.choice(phrases) if rng.random() < 0.6 else text(rng, 3).split())), "a") for i in range(70)] + ODD
     df = docs(spark, rows).withColumn("held", F.coalesce(F.col("doc_id") % 5 == 0, F.lit(True)))
-    counts, total, kept, p, plain = plain_tree([t for i, t, _ in rows if i is not None and i % 5], depth, 8, 10.0, common)
+    counts, total, kept, p, plain = plain_tree([t for i, t, _ in rows if i is not None and i % 5], depth, 8, suffixtree.SEEN, 10.0, common)
     assert {len(c) for c in kept} == set(range(1, depth + 1))
     assert sum(p(max(kept, key=len), a) for a in [*(w for w in counts if counts[w] >= common * total or not w), None]) == pytest.approx(1.0)
     for most in (1 << 20, 40, 0):
