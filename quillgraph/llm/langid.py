@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgraph.llm.common import arrow_limits, sampled
+from quillgraph.llm.common import arrow_limits, beside, cut
 
 #: What a text without a letter gets.
 UNDETERMINED = "und"
@@ -95,17 +95,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 3, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, scale: float = 20.0) -> LanguageModel:
+def train(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, epochs: int = 3, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, scale: float = 20.0) -> LanguageModel:
     """FTRL-proximal over rows (language, buckets, shares) in the order given; every fifth row calibrates instead."""
     langs = tuple(sorted({r[0] for r in rows}))
     if not langs:
         return LanguageModel((), np.zeros((1 << _BITS, 0), np.float32), np.zeros(0), 1.0)
     fit = [r for i, r in enumerate(rows) if i % 5] or rows
     kept = rows[::5]
-    seen = np.zeros(1 << _BITS)
-    for _, ids, _ in fit:
-        seen[ids] += 1
-    idf = np.log((1 + len(fit)) / (1 + seen)) + 0.1
     z, n = np.zeros((1 << _BITS, len(langs))), np.zeros((1 << _BITS, len(langs)))
     zb, nb = np.zeros(len(langs)), np.zeros(len(langs))
 
@@ -132,27 +128,51 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 3, alpha
     return LanguageModel(langs, w.astype(np.float32), b, float(tries[int(np.argmin(nll))]))
 
 
-def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", by: str = "doc_id", rows: int = 2000) -> LanguageModel:
+def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, df) over all texts of a task: in how many of them each bucket is; bucket -1 counts the texts."""
+    total, n = np.zeros(1 << _BITS, np.int64), 0
+    for b in batches:
+        seen, starts, _ = grams(b.column(0).to_pylist())
+        n += len(starts) - 1
+        for s, e in zip(starts[:-1], starts[1:]):
+            has = np.zeros(1 << _BITS, bool)
+            for a in range(s, e, _WINDOW):
+                for ids in buckets(seen[a : min(a + _WINDOW, e) + 2]):
+                    has[ids[: min(_WINDOW, e - a)]] = True
+            total += has
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(total[at], n))], ["bucket", "df"])
+
+
+def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", by: str = "doc_id", rows: int = 2000, langs: int = 256) -> LanguageModel:
     """From rows with non-null text and language; of each language about rows / languages are taken by the hash of `by`.
 
-    N-grams are counted on the executors; the driver gets at most 2**15 buckets for each row taken.
+    Document frequencies are counted over all these rows, weights are fitted on those taken. N-grams are counted on the
+    executors; the driver gets at most 2**15 buckets for each row taken. `langs` bounds the languages learned, the most
+    frequent ones (by name among equals). Other columns may have any name. Without rows each text is UNDETERMINED.
     """
-    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(by, lang, text)
+    known = labelled.select(labelled[by].cast("string").alias("by"), labelled[lang].cast("string").alias("lang"), labelled[text].alias("text")).where("lang is not null and text is not null")
     arrow_limits(known.sparkSession)
-    each = {r[lang]: r["count"] for r in known.groupBy(lang).count().collect()}
-    share = F.lit(0)
-    for value, n in each.items():
-        share = F.when(F.col(lang) == value, F.lit(int(min(1.0, rows / max(1, len(each)) / n) * (1 << 20)))).otherwise(share)
-    taken = known.where(F.pmod(F.xxhash64(F.coalesce(F.col(by).cast("string"), F.lit("")), F.lit(2026)), F.lit(1 << 20)) < share)
+    each = cut(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(langs))
+    most = each.count()
+    if not most:
+        return train([], np.ones(1 << _BITS))
+    # a row for each of `langs` languages at most
+    known = known.join(F.broadcast(each), "lang")
+    share = F.least(F.lit(1.0), F.lit(rows / most) / F.col("count"))
+    taken = known.where(F.pmod(F.xxhash64(F.coalesce("by", F.lit("")), F.lit(2026)), F.lit(1 << 20)) < (share * (1 << 20)).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [counts(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([i.tobytes() for i, _ in got], pa.binary()), pa.array([s.tobytes() for _, s in got], pa.binary())], ["lang", "ids", "shares"])
 
-    got = taken.select(lang, text).mapInArrow(run, "lang string, ids binary, shares binary").collect()
+    got = taken.select("lang", "text").mapInArrow(run, "lang string, ids binary, shares binary").collect()
     order = sorted(((r["lang"], bytes(r["ids"]), bytes(r["shares"])) for r in got), key=lambda r: (hash_bytes(r[1] + r[2]), r[0]))
-    return train([(a, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for a, i, s in order])
+    df = {r["bucket"]: r["df"] for r in known.select("text").mapInArrow(frequencies, "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).collect()}  # 2**15 and one rows
+    seen = np.array([df.get(i, 0) for i in range(1 << _BITS)])
+    idf = np.log((1 + df.get(-1, 0)) / (1 + seen)) + 0.1
+    return train([(a, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for a, i, s in order], idf)
 
 
 def hash_bytes(x: bytes) -> int:
@@ -172,15 +192,24 @@ def predict(texts: list[str | None], m: LanguageModel) -> tuple[list[str], list[
     return [m.langs[k] if ok else UNDETERMINED for k, ok in zip(best, letter)], [float(x) if ok else 0.0 for x, ok in zip(p.max(1), letter)]
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The kept columns, lang_pred and score of every whole text; one pass, no shuffle, rows as they come."""
-    arrow_limits(docs.sparkSession)
+def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """`row` (all columns of docs), lang_pred and score of every whole text; one pass, no shuffle, rows as they come.
+
+    Null texts and texts without a letter are UNDETERMINED with score 0; among equally likely languages the first by name
+    is taken; repeated rows are judged each; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lang, p = predict(b.column(len(keep)).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(p, pa.float64())], [*keep, *out])
+    def start():
+        def run(texts: list) -> list[pa.Array]:
+            lang, p = predict(texts, shared.value)
+            return [pa.array(lang, pa.string()), pa.array(p, pa.float64())]
+
+        return run
+
+    return beside(docs, start, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text)
+
 
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns, lang_pred and score of every text, as identified()."""
+    return identified(docs.select(*keep, *([] if text in keep else [text])), model, text).select(*[F.col(f"row.{c}") for c in keep], "lang_pred", "score")

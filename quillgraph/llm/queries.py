@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import bpe, langid, mixing, parsing, quality, simhash, suffixtree, toxicity, urls, vectors
+from quillgraph.llm import bpe, langid, mixing, parsing, quality, simhash, stages, suffixtree, toxicity, urls, vectors
 from quillgraph.llm.common import id_remainder, table, texts
 
 
@@ -71,9 +71,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
+    return stages.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_embeddings, op2_parsing, op3_mixing, op4_simhash, op5_toxicity, op6_urls, op7_suffixtree, op8_quality, op9_bpe, op10_language, pipeline)}

@@ -8,27 +8,35 @@ two linked fingerprints each then meets the other at its home, and only homes ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import arrow_limits, cut
+from quillgraph.llm.common import arrow_limits, cut, dropped, packed, stored, unpacked
 from quillgraph.llm.components import components
 
-_BITS = 31
-_LOW = (1 << _BITS) - 1
-#: Masks of the five parity checks; bit p - 1 stands for position p.
-_CHECKS = [sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1) for k in range(5)]
-#: For each syndrome the 15 pairs of bits that lead to a code word two bits away (none for 0).
-_PAIRS = np.array([[(1 << (i - 1)) | (1 << ((i ^ s) - 1)) for i in range(1, 32) if i ^ s > i] if s else [0] * 15 for s in range(32)], np.int64)
 #: Homes of one anchor that one task compares; more are split, and what visits the anchor goes to each part.
 HOMES = 1024
+#: Rows of an anchor, and places of fingerprints, that are handled at once.
+_SLICE = 2048
+
+
+def covering(checks: int) -> tuple[list[int], np.ndarray]:
+    """The Hamming code on 2**checks - 1 bits: masks of its parity checks (bit p - 1 stands for position p), and for each syndrome
+    the pairs of bits that lead to a code word two bits away (none for 0)."""
+    n = (1 << checks) - 1
+    masks = [sum(1 << (p - 1) for p in range(1, n + 1) if p >> k & 1) for k in range(checks)]
+    pairs = [[(1 << (i - 1)) | (1 << ((i ^ s) - 1)) for i in range(1, n + 1) if i ^ s > i] if s else [0] * (n // 2) for s in range(n + 1)]
+    return masks, np.array(pairs, np.int64)
+
+
+#: Codes of the 31 bits of a half, and of the 15 bits of one of eight blocks.
+_HALF, _BLOCK = covering(5), covering(4)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -59,73 +67,135 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", id_: str
     return docs.select(docs[id_].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, whether it is the home, and index of the fingerprint, for all that each fingerprint is replicated to."""
+def anchors(words: list[np.ndarray], code: tuple[list[int], np.ndarray], stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, whether it is the home, and index of the fingerprint, for all that each fingerprint is replicated to.
+
+    A fingerprint is one or more 64-bit words, cut into blocks of `stride` bits of which the code covers all but the last.
+    """
+    checks, pairs = code
+    bits = len(pairs) - 1
     out = []
-    at = np.arange(len(fps))
-    for half in (0, 1):
-        x = (fps >> (32 * half)) & _LOW
+    at = np.arange(len(words[0]))
+    blocks = [(f >> k) & ((1 << bits) - 1) for f in words for k in range(0, 64, stride)]
+    for block, x in enumerate(blocks):
         s = np.zeros(len(x), np.int64)
-        for k, mask in enumerate(_CHECKS):
+        for k, mask in enumerate(checks):
             s |= (np.bitwise_count(x & mask).astype(np.int64) & 1) << k
         home = np.where(s > 0, x ^ (1 << np.maximum(s - 1, 0)), x)
-        out.append((home | half << _BITS, np.ones(len(x), bool), at))
+        out.append((home | block << bits, np.ones(len(x), bool), at))
         off = np.flatnonzero(s)
-        out.append(((x[off, None] ^ _PAIRS[s[off]]).ravel() | half << _BITS, np.zeros(15 * len(off), bool), np.repeat(at[off], 15)))
+        out.append(((x[off, None] ^ pairs[s[off]]).ravel() | block << bits, np.zeros(pairs.shape[1] * len(off), bool), np.repeat(at[off], pairs.shape[1])))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def forest(homes: np.ndarray, others: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links within `most` bits between homes and others, as few as keep together what they connect."""
-    # unsigned: of negative numbers bitwise_count would count the bits of the absolute value
-    near = np.bitwise_count(homes.view(np.uint64)[:, None] ^ others.view(np.uint64)[None, :]) <= most
-    near &= homes[:, None] != others[None, :]
-    if not near.any():
-        return []
-    root = list(range(len(homes)))
+def apart(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Differing bits of each pair of fingerprints; unsigned, as of negative numbers bitwise_count takes the absolute value."""
+    return sum(np.bitwise_count(x.view(np.uint64)[:, None] ^ y.view(np.uint64)[None, :]) for x, y in zip(a, b))
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
 
-    out = []
-    which, whose = np.nonzero(near.T)
-    first = -1
-    lead = 0
-    for y, h in zip(which.tolist(), whose.tolist()):
-        if y != first:
-            first, lead = y, h
-            out.append((int(others[y]), int(homes[h])))
-        elif (a := find(lead)) != (b := find(h)):
-            root[b] = a
-            out.append((int(others[y]), int(homes[h])))
-    return out
-
-
-def compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Links per anchor, from rows sorted by anchor and part, homes first; of an open group only its homes are kept."""
-    kept_key, kept = None, np.zeros(0, np.int64)
+def forest(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links left[i]-right[j] a shortest forest that joins all the labels that they join; labels change in place.
+
+    In rounds: each class of labels takes its shortest link to another class, in whole arrays.
+    """
+    chosen: list[tuple[np.ndarray, np.ndarray]] = []
+    while True:
+        a, b = left[i], right[j]
+        cross = a != b
+        if not cross.any():
+            break
+        i, j, far, a, b = i[cross], j[cross], far[cross], a[cross], b[cross]
+        # shortest first, once for each pair of classes
+        order = np.lexsort((np.maximum(a, b), np.minimum(a, b), far))
+        i, j, far, a, b = (x[order] for x in (i, j, far, a, b))
+        each, at = np.unique(np.concatenate([a, b]), return_index=True)
+        pick = np.unique(at % len(a))
+        chosen.append((i[pick], j[pick]))
+        root = {x: x for x in each.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y in zip(a[pick].tolist(), b[pick].tolist()):
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+        to = np.array([find(x) for x in each.tolist()], np.int64)
+        for labels in (left, right):
+            k = np.minimum(np.searchsorted(each, labels), len(each) - 1)
+            hit = each[k] == labels
+            labels[hit] = to[k[hit]]
+    if not chosen:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*chosen))
+
+
+def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray], list[np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Links u, v per anchor that join all that its links join, from rows (anchor, part, visits, name, ...) sorted by anchor and
+    part, homes first, by a last column from the name on; near() tells the links of two groups of rows and their lengths.
+
+    Of an open group only its homes are kept.
+    """
+    key, own, label = None, [], np.zeros(0, np.int64)
     for b in batches:
-        anchor, part, visits, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        anchor, part, visits, *rest = (c.to_numpy(zero_copy_only=False) for c in b.columns)
         cuts = np.flatnonzero((anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])) + 1
         starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(anchor)]])
         homes = np.add.reduceat((~visits).astype(np.int64), starts)
         look = (homes > 0) & (ends - starts > 1)
         look[[0, -1]] = True
-        out: list[tuple[int, int]] = []
+        us, vs = [], []
         for g in np.flatnonzero(look):
-            s, e, key = starts[g], ends[g], (int(anchor[starts[g]]), int(part[starts[g]]))
-            own = fp[s : s + homes[g]]
-            if key == kept_key:
-                own = np.concatenate([kept, own])
-            kept_key, kept = key, own
-            if len(own):
-                for i in range(s, e, 2048):
-                    out += forest(own, fp[i : min(i + 2048, e)], most)
-        if out:
-            u, v = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            s, e, h, this = starts[g], ends[g], homes[g], (int(anchor[starts[g]]), int(part[starts[g]]))
+            new = [c[s : s + h] for c in rest]
+            if this == key:
+                own, label = [np.concatenate(c) for c in zip(own, new)], np.concatenate([label, new[0]])
+            else:
+                key, own, label = this, new, new[0].copy()
+            for c in range(s, e, _SLICE) if len(label) else ():
+                other = [x[c : min(c + _SLICE, e)] for x in rest]
+                i, j, far = near(own, other)
+                if len(i):
+                    # rows that are homes too have the label of their class so far
+                    k = np.searchsorted(own[0], other[0], sorter=(order := np.argsort(own[0])))
+                    k = order[np.minimum(k, len(order) - 1)]
+                    theirs = np.where(own[0][k] == other[0], label[k], other[0])
+                    i, j = forest(label, theirs, i, j, far)
+                    us.append(own[0][i])
+                    vs.append(other[0][j])
+        if us:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+
+
+def meetings(rows: DataFrame, words: list[str], code: tuple[list[int], np.ndarray], stride: int) -> DataFrame:
+    """Each row (name first) at its anchors, sorted as compared() needs; anchors of more than HOMES homes in parts."""
+    columns = rows.columns
+    fields = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+
+    def replicate(batches: Iterator[pa.RecordBatch], only_homes: bool = False) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, len(b), _SLICE):
+                some = b.slice(i, _SLICE)
+                anchor, home, at = anchors([some.column(columns.index(w)).to_numpy() for w in words], code, stride)
+                if only_homes:
+                    anchor, at, home = anchor[home], at[home], home[home]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(~home), *(c.take(pa.array(at)) for c in some.columns)], ["anchor", "visits", *columns])
+
+    schema = f"anchor long, visits boolean, {fields}"
+    spread = rows.mapInArrow(replicate, schema)
+    at_home = rows.mapInArrow(lambda it: replicate(it, True), schema)
+    heavy = cut(at_home.groupBy("anchor").count().where(F.col("count") > HOMES).select("anchor", F.ceil(F.col("count") / HOMES).cast("int").alias("parts")))
+    if heavy.isEmpty():
+        spread = spread.withColumn("part", F.lit(0))
+    else:
+        part = F.pmod(F.xxhash64(columns[0]), F.col("parts")).cast("int")
+        spread = spread.join(heavy, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        spread = spread.withColumn("part", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(part))))
+        # homes of one part also have to meet those of the others
+        others = spread.where(~F.col("visits") & (F.col("parts") > 1)).withColumn("visits", F.lit(True)).withColumn("part", F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part"))))
+        spread = spread.unionByName(others)
+    return spread.select("anchor", "part", "visits", *columns).repartition("anchor", "part").sortWithinPartitions("anchor", "part", "visits")
 
 
 def links(distinct: DataFrame, most: int = 3) -> DataFrame:
@@ -135,30 +205,14 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
     """
     if most > 3:
         raise ValueError("two halves of 31 checked bits carry links of at most 3 bits")
-    spark = distinct.sparkSession
-    arrow_limits(spark, rows=50_000)
+    arrow_limits(distinct.sparkSession)
 
-    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = b.column(0).to_numpy(zero_copy_only=False)
-            for i in range(0, len(fps), 4096):
-                anchor, home, at = anchors(fps[i : i + 4096])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(~home), pa.array(fps[i : i + 4096][at])], ["anchor", "visits", "fp"])
+    def near(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        off = apart(a, b)
+        i, j = np.nonzero((off <= most) & (a[0][:, None] != b[0][None, :]))
+        return i, j, off[i, j]
 
-    spread = distinct.select("fp").mapInArrow(replicate, "anchor long, visits boolean, fp long")
-    at_home = distinct.select("fp").mapInArrow(lambda it: (b.filter(pa.compute.invert(b.column(1))) for b in replicate(it)), "anchor long, visits boolean, fp long")
-    heavy = cut(at_home.groupBy("anchor").count().where(F.col("count") > HOMES).select("anchor", F.ceil(F.col("count") / HOMES).cast("int").alias("parts")))
-    if heavy.isEmpty():
-        spread = spread.withColumn("part", F.lit(0))
-    else:
-        part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-        spread = spread.join(heavy, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        spread = spread.withColumn("part", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(part))))
-        # homes of one part also have to meet those of the others
-        others = spread.where(~F.col("visits") & (F.col("parts") > 1)).withColumn("visits", F.lit(True)).withColumn("part", F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part"))))
-        spread = spread.unionByName(others)
-    spread = spread.select("anchor", "part", "visits", "fp").repartition("anchor", "part").sortWithinPartitions("anchor", "part", "visits")
-    return spread.mapInArrow(lambda it: compared(it, most), "u long, v long").distinct()
+    return meetings(distinct.select("fp"), ["fp"], _HALF, 32).mapInArrow(lambda it: compared(it, near), "u long, v long").distinct()
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -181,16 +235,106 @@ def classes(docs: DataFrame, shingle: int = 3, most: int = 3, text: str = "text"
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def kept(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
+def kept(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """docs without near-duplicates: of each class the row with the smallest doc_id stays, with the columns of docs.
 
-    Whole texts move once, to meet the ids that stay. Where an id is repeated, equal rows of it stay once. Null ids stay,
-    once for each text, if there is a class without any other id.
+    found: doc_id and component_id of every row, by classes() if not given. Whole texts move once, to meet the ids that stay.
+    Where an id is repeated, equal texts of it stay once. Null ids stay, once for each text, if their class has no other.
+    Other columns may have any name; an empty table stays empty.
     """
-    found = classes(docs, shingle, most).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = cut(found.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")))
-    stay = docs.join(first, docs["doc_id"].eqNullSafe(F.col("__id")))
-    if first.where("__n > 1").isEmpty():
-        return stay.select(*docs.columns)
-    again = stay.where("__n > 1").dropDuplicates(["doc_id", "text"])
-    return stay.where("__n = 1").unionByName(again).select(*docs.columns)
+    found = classes(docs) if found is None else found
+    first = cut(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("first_id")).agg(F.count(F.lit(1)).alias("n")))
+    rows = packed(docs, doc_id=docs["doc_id"].cast("long"), text=F.xxhash64(docs["text"]))
+    stay = rows.join(first, rows["doc_id"].eqNullSafe(first["first_id"]))
+    if first.where("n > 1").isEmpty():
+        return unpacked(stay)
+    again = stay.where("n > 1").dropDuplicates(["doc_id", "text"])
+    return unpacked(stay.where("n = 1").unionByName(again))
+
+
+# ---- similar texts: longer fingerprints, then an exact check -------------------------------------------------------
+
+def shingles(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the distinct word shingles, sorted; of fewer words the whole sequence, without words none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    whole = b" ".join(words)
+    n = max(1, len(words) - shingle + 1)
+    ends = list(accumulate(len(w) + 1 for w in words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter([digest(whole[a : b - 1], 42) for a, b in zip([0, *ends[: n - 1]], ends[min(shingle, len(words)) - 1 :])], np.uint64, n))
+
+
+def _second(h: np.ndarray) -> np.ndarray:
+    """64 more bits of each hash."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(32))
+
+
+def described(text: str | None, shingle: int) -> tuple[int, int, int, int]:
+    """128 bits of SimHash over the distinct shingles, their number and the sum of their hashes, which tells sets apart."""
+    h = shingles(text, shingle)
+    words = []
+    for x in (h, _second(h)):
+        votes = np.zeros(64, np.int64)
+        for i in range(0, len(x), 1 << 14):
+            votes += np.unpackbits(x[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        words.append(int(np.packbits(2 * votes > len(x), bitorder="little").view(np.int64)[0]))
+    return words[0], words[1], len(h), int(h.sum(dtype=np.uint64).view(np.int64))
+
+
+def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 32, text: str = "text", id_: str = "doc_id") -> DataFrame:
+    """doc_id, component_id of every row: classes of texts whose word shingles are alike, Jaccard `least` or more.
+
+    Fingerprints of 128 bits are covered by anchors in eight blocks of 15 checked bits: pairs within 15 bits surely meet, others
+    if a block differs by one bit at most. Those of matching numbers of shingles within `most` bits are candidates, of which a
+    forest in each anchor, shortest links first, is held against the whole texts: links are exact. Texts without words are
+    one class. Null texts are empty, equal sets of shingles one node; null ids take part in links but name no class.
+    """
+    arrow_limits(docs.sparkSession)
+    # by this key one row of a node is found again; a collision is told by the sum of its hashes
+    rows = docs.select(docs[id_].cast("long").alias("doc_id"), docs[text].alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            f, g, n, total = zip(*[described(x, shingle) for x in b.column(2).to_pylist()]) if len(b) else ((),) * 4
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (f, g, n, total))], ["doc_id", "key", "f", "g", "n", "total"])
+
+    each = cut(rows.select("doc_id", "key", "text").mapInArrow(describe, "doc_id long, key long, f long, g long, n long, total long"))
+    nodes = cut(each.groupBy("f", "g", "n", "total").agg(F.min("doc_id").alias("least_id"), F.min("key").alias("key")).withColumn("node", F.monotonically_increasing_id()))
+
+    def near(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # sizes that allow the similarity, in a range of the homes sorted by size
+        order = np.argsort(a[3], kind="stable")
+        size = a[3][order]
+        some = order[np.searchsorted(size, b[3].min() * least - 1e-9) : np.searchsorted(size, b[3].max() / least + 1e-9, "right")]
+        off = apart([x[some] for x in a[1:3]], b[1:3])
+        i, j = np.nonzero(off <= most)
+        far, i = off[i, j], some[i]
+        m, n = a[3][i], b[3][j]
+        ok = (a[0][i] != b[0][j]) & (np.minimum(m, n) >= least * np.maximum(m, n) - 1e-9)
+        return i[ok], j[ok], far[ok]
+
+    met = meetings(nodes.select("node", "f", "g", "n"), ["f", "g"], _BLOCK, 16).sortWithinPartitions("anchor", "part", "visits", "n")
+    pairs = cut(met.mapInArrow(lambda it: compared(it, near), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "key", "total"), "node"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [shingles(x, shingle) for x in b.column(2).to_pylist()]
+            same = [i for i, (h, t) in enumerate(zip(got, b.column(1).to_pylist())) if int(h.sum(dtype=np.uint64).view(np.int64)) == t]
+            ends = np.cumsum([0, *(len(got[i]) for i in same)]).astype(np.int32)
+            flat = np.concatenate([got[i] for i in same]) if same else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))], ["node", "h"])
+
+    found = stored(rows.select("key", "text").join(wanted, "key").select("node", "total", "text").mapInArrow(sets, "node long, h array<long>").dropDuplicates(["node"]))
+    both = pairs.join(found.select(F.col("node").alias("u"), F.col("h").alias("a")), "u").join(found.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
+    shared = F.size(F.array_intersect("a", "b"))
+    roots = components(both.where(shared >= F.lit(least) * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v"))
+    dropped(found)
+    rooted = cut(nodes.join(roots, "node", "left").select("f", "g", "n", "total", "least_id", F.coalesce("root", "node").alias("root")))
+    named = cut(rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("f", "g", "n", "total", "component_id"))
+    return each.join(named, ["f", "g", "n", "total"]).select("doc_id", "component_id")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgraph.llm.common import arrow_limits, sampled
+from quillgraph.llm.common import arrow_limits, beside, dropped, sampled
 
 _BITS = 20
 _WORD = re.compile(r"\w+")
@@ -111,7 +111,9 @@ def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", by: str =
     """
     spark = labelled.sparkSession
     arrow_limits(spark)
-    taken = sampled(labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(by, text, (F.col(label) > 0).cast("int").alias("y")), rows, by).select("y", text)
+    known = labelled.where(labelled[label].isNotNull() & labelled[text].isNotNull())
+    sample = sampled(known.select(labelled[by].alias("by"), labelled[text].alias("text"), (labelled[label] > 0).cast("int").alias("y")), rows, "by")
+    taken = sample.select("y", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,6 +135,7 @@ def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", by: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.concatenate(d).tobytes() if d else b"" for d in got], pa.binary()), pa.array([np.array([len(s) for s in d], np.int32).tobytes() for d in got], pa.binary())], ["y", "ids", "sizes"])
 
     got = sorted((r["y"], bytes(r["ids"]), bytes(r["sizes"])) for r in taken.mapInArrow(run, "y int, ids binary, sizes binary").collect())
+    dropped(sample)
     docs = [np.split(np.frombuffer(i, np.int32), np.cumsum(np.frombuffer(n, np.int32))[:-1]) if n else [] for _, i, n in got]
     return train(docs, [y for y, _, _ in got])
 
@@ -175,20 +178,27 @@ class Scorer:
         return float(-np.expm1(-np.logaddexp(0, z).sum())), [{"start": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= least)]
 
 
-def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least: float = 0.5, out: tuple[str, str] = ("score", "offending")) -> DataFrame:
-    """The kept columns, the score of every whole text and its offending sentences (start, end, score).
+def scored(docs: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.5) -> DataFrame:
+    """`row` (all columns of docs), the score of every whole text and its offending sentences (start, end, score).
 
-    Null, empty and wordless texts score 0. One pass, no shuffle, rows as they come.
+    Null, empty and wordless texts score 0; repeated rows are scored each; an empty table gives no rows. One pass, no shuffle.
     """
-    arrow_limits(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         scorer = Scorer(shared.value)
-        for b in batches:
-            got = [scorer(x or "", least) for x in b.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([s for s, _ in got], pa.float64()), pa.array([x for _, x in got], span)], [*keep, *out])
+
+        def run(texts: list) -> list[pa.Array]:
+            got = [scorer(x or "", least) for x in texts]
+            return [pa.array([s for s, _ in got], pa.float64()), pa.array([x for _, x in got], span)]
+
+        return run
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField(out[0], T.DoubleType()), T.StructField(out[1], spans)]))
+    return beside(docs, start, [T.StructField("score", T.DoubleType()), T.StructField("offending", spans)], text)
+
+
+def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least: float = 0.5) -> DataFrame:
+    """The kept columns, score and offending of every text, as scored()."""
+    return scored(docs.select(*keep, *([] if text in keep else [text])), model, text, least).select(*[F.col(f"row.{c}") for c in keep], "score", "offending")

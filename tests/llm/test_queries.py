@@ -36,7 +36,7 @@ def test_pipeline_stages(spark):
         seen[name] = (docs, new)
         docs = new
     before, after = seen["near_duplicates"]
-    firsts = {r["doc_id"] for r in simhash.classes(before).collect() if r["doc_id"] == r["component_id"]}
+    firsts = {r["doc_id"] for r in simhash.similar(before).collect() if r["doc_id"] == r["component_id"]}
     assert {r["doc_id"] for r in after.select("doc_id").collect()} == firsts
     assert seen["language"][1].count() >= 0.95 * seen["language"][0].count()
     assert seen["bpe"][1].count() == seen["mixing"][1].count()
