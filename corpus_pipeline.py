@@ -1,68 +1,5 @@
-"""From raw documents to token counts, in five stages; each works on all that the one before it kept.
+"""From raw documents to token counts, in five stages; see quillgraph.llm.stages."""
 
-STAGES: (name, function of (spark, docs, sf_dir)). All but the last return the columns of docs. run() applies them to the
-documents of sf_dir, each stage's result written once to the shared folder and read again as the next one's docs.
-Empty tables pass through; null texts and texts without a letter go in the first stage; repeated rows are one class in the
-third; extra columns stay with their rows.
-"""
+from quillgraph.llm.stages import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quillgraph.llm import bpe, langid, mixing, simhash, toxicity
-from quillgraph.llm.common import id_remainder, stored, table
-
-#: Calibrated probability below which a language counts as not identified.
-LEAST_LANGUAGE = 0.4
-#: Noisy-or from which a document counts as toxic.
-TOXIC = 0.7
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is identified; learned from known languages outside one hash fold."""
-    model = langid.fit(docs.where(id_remainder(4) != 2))
-    scored = langid.identify(docs, model, keep=tuple(docs.columns), out=("__lang", "__score"))
-    return scored.where((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE)).select(*docs.columns)
-
-
-def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that score below TOXIC; learned from labels.toxic outside one hash fold."""
-    marks = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic is not null")
-    model = toxicity.fit(docs.select("doc_id", "text").join(marks, "doc_id").where(id_remainder(3) != 1))
-    return toxicity.score(docs, model, keep=tuple(docs.columns), out=("__score", "__spans")).where(F.col("__score") < TOXIC).select(*docs.columns)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each class of near-duplicates the document with the smallest id."""
-    return simhash.kept(docs)
-
-
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks."""
-    return mixing.mix(docs)
-
-
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source and what BPE makes of each text: token count and digests of ids and decoded text."""
-    import public_tokenizers
-
-    keep = ("doc_id", "lang", "source")
-    return bpe.digest(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=keep), keep)
-
-
-STAGES = [("language", language), ("toxicity", toxic), ("near_duplicates", near_duplicates), ("mixing", mixed), ("bpe", tokens)]
-
-#: Hashed models, FTRL and BPE merges are beyond SQL. Tests check columns and row counts of the stages, and which documents
-#: near_duplicates keeps by the operator it calls; no stage is compared with a plain version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
