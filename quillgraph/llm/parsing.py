@@ -3,12 +3,15 @@
 Deterministic coin tossing turns each symbol into a small label by comparing it with its left neighbour; local maxima of
 the labels start the phrases, and a phrase's name is a hash of what it holds. Phrases of one level are the symbols of the
 next. Where a phrase begins depends on a few symbols around it only, so equal substrings share the names of their
-interior phrases at any offset. A fingerprint holds the smallest hashes of the names of three levels.
+interior phrases at any offset. A fingerprint is a bottom sketch of the names of three levels as a bag: each name with the
+number of its occurrence, and a long run of one symbol as often as phrases would cover it, so that likeness follows the text
+that is shared, repetitive texts included.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +19,16 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quillgraph.llm.common import arrow_limits
+from quillgraph.llm.common import arrow_limits, beside
 
 #: Levels whose names are kept (phrases of about 9, 27 and 80 bytes), and hashes in a fingerprint.
-LEVELS, KEEP = (2, 3, 4), 64
+LEVELS, KEEP = (2, 3, 4), 128
+#: Symbols of a run that count as one phrase, of bytes and of phrases of the first level (of later levels each is one).
+RUNS = {1: 8, 2: 3}
+#: Bytes of text of a range of documents.
+RANGE = 64 << 20
 _PIECE = 1 << 20
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(32)
@@ -53,8 +61,9 @@ def _tossed(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return x
 
 
-def _parsed(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the phrases of the next level and where each text starts among them."""
+def _parsed(names: np.ndarray, starts: np.ndarray, runs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the phrases of the next level, where each text starts among them, and the places and names of runs, one for every
+    `runs` symbols of a run (none if 0)."""
     # runs of one symbol become one symbol named by it and its length, so that neighbours differ
     first = np.empty(len(names), bool)
     np.not_equal(names[1:], names[:-1], out=first[1:])
@@ -69,6 +78,9 @@ def _parsed(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if long.any():
         wide = wide.copy() if wide is value else wide
         wide[long] = _mix(wide[long] + run[long].astype(np.uint64) * _A)
+    often = run // runs if runs else np.zeros(0, np.int64)
+    held = np.flatnonzero(often)
+    run_at, what = np.repeat(at[held], often[held]), np.repeat((_BYTE[value[held]] if value.dtype == np.uint8 else value[held]), often[held])
     begins = np.zeros(len(label), bool)
     begins[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
     begins[starts[1:] - 1] = False  # the last symbol of a text has no right neighbour
@@ -77,11 +89,11 @@ def _parsed(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     size = np.diff(begin, append=len(label))
     place = np.arange(len(label)) - np.repeat(begin, size)
     total = np.add.reduceat(wide * _PLACE[place & 63], begin)
-    return _mix(total + size.astype(np.uint64)), np.cumsum(begins)[starts] - 1
+    return _mix(total + size.astype(np.uint64)), np.cumsum(begins)[starts] - 1, run_at, what
 
 
 def sketches(texts: list[bytes]) -> list[np.ndarray]:
-    """For each text the KEEP smallest 32-bit hashes of the names of its phrases, sorted; none for the empty text.
+    """For each text the KEEP smallest 32-bit hashes of its phrases (name and number of the occurrence), sorted; none for the empty text.
 
     Texts are parsed together, side by side, in pieces of about a MB (a longer text is its own piece).
     """
@@ -103,11 +115,18 @@ def _group(texts: list[bytes], where: list[int], out: list[np.ndarray]) -> None:
     starts = np.cumsum([0, *(len(x) for x in texts[:-1])])
     seen = []
     for level in range(1, LEVELS[-1] + 1):
-        names, starts = _parsed(names, starts)
+        before = starts
+        names, starts, run_at, what = _parsed(names, starts, RUNS.get(level, 0))
+        if len(run_at):
+            owner = (np.searchsorted(before, run_at, "right") - 1).astype(np.uint64)
+            seen.append(owner << _S | _mix(what + np.uint64(100 + level)) >> _S)
         if level in LEVELS:
             owner = np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(starts, append=len(names)))
             seen.append(owner << _S | _mix(names + np.uint64(level)) >> _S)
-    both = np.unique(np.concatenate(seen))
+    bag = np.sort(np.concatenate(seen))
+    new = np.concatenate([[True], bag[1:] != bag[:-1]])
+    nth = np.arange(len(bag)) - np.maximum.accumulate(np.where(new, np.arange(len(bag)), 0))
+    both = np.unique(bag >> _S << _S | _mix(bag << _S | nth.astype(np.uint64)) >> _S)
     cuts = np.searchsorted(both >> _S, np.arange(len(texts) + 1, dtype=np.uint64))
     low = both.astype(np.uint32)
     for i, a, b in zip(where, cuts[:-1], cuts[1:]):
@@ -144,16 +163,12 @@ def edited(text: str, after: str) -> str:
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and `fingerprint` of every whole text (null: as the empty text); one pass, no shuffle."""
-    from pyspark.sql import types as T
 
-    arrow_limits(docs.sparkSession)
+    def start():
+        return lambda texts: [pa.array([text_of(x) for x in sketches([(x or "").encode("utf-8", "surrogatepass") for x in texts])], pa.string())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = sketches([(x or "").encode("utf-8", "surrogatepass") for x in b.column(len(keep)).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([text_of(x) for x in got], pa.string())], [*keep, "fingerprint"])
-
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField("fingerprint", T.StringType())]))
+    found = beside(docs.select(*keep, *([] if text in keep else [text])), start, [T.StructField("fingerprint", T.StringType())], text)
+    return found.select(*[F.col(f"row.{c}") for c in keep], "fingerprint")
 
 
 def beside_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,27 +199,39 @@ def beside_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compare_with_edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its edited text and their likeness, and that to the next document's.
 
-    The next document is the next by descending doc_id (null ids last, equal ids by text), after the last the first; a
-    single document is its own next. Whole texts move once, into ranges of ids; the first document of each range also goes
-    to the range before it. The driver holds a few numbers for each range.
+    The next document is the next by descending doc_id (null ids last, equal ids by hash and text); after the last comes the
+    first, and a single document is its own next. Null texts are empty; repeated rows follow one another; an empty table gives
+    no rows; only doc_id and text are read, so other columns may have any name. Whole texts move once, into ranges of about
+    RANGE bytes (an id on many rows in several, by hash); the first document of each range also goes to the range before it.
+    The driver holds a few numbers for each range.
     """
     spark = docs.sparkSession
     arrow_limits(spark)
     low = -(1 << 63)
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.coalesce(docs["doc_id"].cast("long"), F.lit(low)).alias("o"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(rows.select((-F.col("o").cast("double")).alias("k")).approxQuantile("k", [i / ranges for i in range(1, ranges)], 0.1 / ranges)))
-    splits = [-float("inf"), *(bounds or [0.0]), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="k", outputCol="range")
-    ranged = cut.transform(rows.withColumn("k", -F.col("o").cast("double"))).withColumn("range", F.col("range").cast("int"))
-    heads = sorted((r["range"], r["o"]) for r in ranged.groupBy("range").agg(F.max("o").alias("o")).collect())
-    if not heads:
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.coalesce(docs["doc_id"].cast("long"), F.lit(low)).alias("o"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("h"))
+    total, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if not total:
         return rows.select("doc_id", "text", F.lit(False).alias("extra")).mapInArrow(beside_next, _OUT)
-    to = spark.createDataFrame([(heads[(i + 1) % len(heads)][1], heads[i][0]) for i in range(len(heads))], "o long, range int")
-    first = rows.join(F.broadcast(to), "o").groupBy("range").agg(F.min(F.struct("o", F.coalesce("text", F.lit("")).alias("text"), "doc_id")).alias("s"))
-    extra = first.select("s.doc_id", "s.text", "s.o", "range", F.lit(True).alias("extra"))
-    both = ranged.select("doc_id", "text", "o", "range", F.lit(False).alias("extra")).unionByName(extra)
-    placed = both.repartitionById(len(splits) - 1, "range").sortWithinPartitions(F.col("extra"), F.col("o").desc(), F.coalesce("text", F.lit("")))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // RANGE))
+    k = -F.col("o").cast("double")
+    bounds = set(rows.select(k.alias("k")).approxQuantile("k", [i / ranges for i in range(1, ranges)], 0.1 / ranges))
+    # ids on so many rows that they fill ranges of their own: `ranges` at most
+    many = {-float(r["o"]): -(-r["count"] * ranges // total) for r in rows.groupBy("o").count().where(F.col("count") > max(1000, total // ranges)).collect()}
+    bounds |= {x for h in many for x in (h, math.nextafter(h, math.inf))}
+    splits = [-float("inf"), *(sorted(bounds) or [0.0]), float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="k", outputCol="big").transform(rows.withColumn("k", k)).withColumn("big", F.col("big").cast("int"))
+    sub = F.lit(0)
+    for x, parts in many.items():
+        sub = F.when(F.col("k") == x, F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * parts).cast("int")).otherwise(sub)
+    ranged = ranged.withColumn("sub", sub)
+    heads = sorted((r["big"], r["sub"], r["o"]) for r in ranged.groupBy("big", "sub").agg(F.max("o").alias("o")).collect())
+    names = F.broadcast(spark.createDataFrame([(b, s, i, (i - 1) % len(heads)) for i, (b, s, _) in enumerate(heads)], "big int, sub int, range int, before int"))
+    ranged = ranged.join(names, ["big", "sub"]).select("doc_id", "text", "o", "h", "range", "before")
+    top = F.broadcast(spark.createDataFrame([(i, o) for i, (_, _, o) in enumerate(heads)], "range int, o long"))
+    first = ranged.join(top, ["range", "o"]).groupBy("range", "before").agg(F.min(F.struct("h", F.coalesce("text", F.lit("")).alias("text"), "doc_id", "o")).alias("s"))
+    extra = first.select("s.doc_id", "s.text", "s.o", "s.h", F.col("before").alias("range"), F.lit(True).alias("extra"))
+    both = ranged.select("doc_id", "text", "o", "h", "range", F.lit(False).alias("extra")).unionByName(extra)
+    placed = both.repartitionById(len(heads), "range").sortWithinPartitions(F.col("extra"), F.col("o").desc(), "h", F.coalesce("text", F.lit("")))
     return placed.select("doc_id", "text", "extra").mapInArrow(beside_next, _OUT)
 
 
