@@ -10,7 +10,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgraph.llm.common import arrow_limits
+from quillgraph.llm.common import beside
 
 #: Texts of these characters only take the short way; others are normalised and split by the library's own parts.
 _RARE = re.compile("[^\x00-\x1b\x20-\x84\x86-ɏ‐-‧‰-⁞]")
@@ -50,8 +49,11 @@ class ForcedBoundaryBPE:
         self.vocab: dict[str, int] = conf["model"]["vocab"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in conf["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
+        if any(t.get(flag) for t in conf["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("special tokens that take in white space or whole words only are not read here")
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
-        self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.marks = tuple({t[:2] for t in self.special})
         ends = {t: t[: -len(_END) - 1] + _last(t[-len(_END) - 1]) for t in self.vocab if t.endswith(_END) and t != _END}
         self.ids = {ends.get(t, t): i for t, i in self.vocab.items()}
         self.rank = {(ends.get(a, a), ends.get(b, b)): i for i, (a, b) in enumerate(pairs)}
@@ -130,7 +132,7 @@ class ForcedBoundaryBPE:
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         known, chunk = self.chunks.get, self.chunk
-        for piece in self.cut_special.split(text) if "<|" in text else (text,):
+        for piece in self.cut_special.split(text) if any(m in text for m in self.marks) else (text,):
             if piece in self.special:
                 out.append(self.special[piece])
             elif _RARE.search(piece):
@@ -162,29 +164,29 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tu
 
     vocabulary: path of the tokenizer file, read on the driver and broadcast (its size is that of the file, a few MB).
     Null and empty texts have no ids and decode to the empty text. One pass, no shuffle; rows, repeated ones included,
-    are kept as they come; other columns are dropped.
+    are kept as they come, and an empty table gives none; other columns are dropped, whatever their names.
     """
-    spark = docs.sparkSession
-    arrow_limits(spark)
     with open(vocabulary, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())
-    fields = [docs.schema[c] for c in keep]
+        spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         bpe = tokenizer(spec.value)
-        for batch in batches:
+
+        def run(texts: list) -> list[pa.Array]:
             flat: list[int] = []
             ends, decoded = [0], []
-            for x in batch.column(len(keep)).to_pylist():
+            for x in texts:
                 ids = bpe.encode(x) if x else []
                 flat.extend(ids)
                 ends.append(len(flat))
                 decoded.append(bpe.decode(ids))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids, pa.array(decoded, pa.string())], [*keep, "ids", "decoded"])
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())), pa.array(decoded, pa.string())]
+
+        return run
 
-    out = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, out)
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    found = beside(docs.select(*keep, *([] if text in keep else [text])), start, fields, text)
+    return found.select(*[F.col(f"row.{c}") for c in keep], "ids", "decoded")
 
 
 def digest(encoded: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

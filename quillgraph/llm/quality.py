@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgraph.llm.common import arrow_limits, sampled
+from quillgraph.llm.common import arrow_limits, beside, dropped, sampled
 
 
 @dataclass(frozen=True)
@@ -78,49 +78,62 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return float(w[0] / scale), float(w[1])
 
 
-def build(texts: list[bytes], labels: list[int], size: int = 110_000, level: int = 1) -> CompressionModel:
-    """Dictionaries from two of three texts, calibration from the third; texts in any fixed order.
+def constant(labels: list[int], level: int) -> CompressionModel:
+    """Without both labels the score is the share of label 1 for every text."""
+    share = min(max(sum(labels) / len(labels) if labels else 0.5, 1e-6), 1 - 1e-6)
+    return CompressionModel(b"", b"", level, 0.0, math.log(share / (1 - share)))
 
-    Without both labels the score is the share of label 1 for every text.
-    """
-    y = np.array(labels, float)
-    if not len(y) or y.min() == y.max():
-        share = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
-        return CompressionModel(b"", b"", level, 0.0, math.log(share / (1 - share)))
-    apart = np.zeros(len(y), bool)
-    for k in (0, 1):
-        apart[np.flatnonzero(y == k)[2::3]] = True
-    parts = [[t for t, l, x in zip(texts, labels, apart) if l == k and not x and t] for k in (1, 0)]
-    good, bad = (_dictionary(p, size) for p in parts)
-    sizes = Sizes(good, bad, level)
-    fit = apart if len({l for l, x in zip(labels, apart) if x}) == 2 else np.ones(len(y), bool)
-    slope, offset = _logistic(np.array([sizes.difference(t) for t, x in zip(texts, fit) if x]), y[fit])
-    return CompressionModel(good, bad, level, slope, offset)
+
+def dictionaries(texts: list[bytes], labels: list[int], size: int = 110_000, level: int = 1) -> tuple[bytes, bytes]:
+    """Dictionaries of good and of bad texts, given in any fixed order."""
+    return tuple(_dictionary([t for t, l in zip(texts, labels) if l == k and t], size) for k in (1, 0))
 
 
 def fit(labelled: DataFrame, label: str = "quality", text: str = "text", by: str = "doc_id", rows: int = 4000, size: int = 110_000, level: int = 1) -> CompressionModel:
-    """From labelled rows (columns text, label, by), of which about `rows` are taken by the hash of `by`.
+    """From labelled rows, of which about `rows` are taken by the hash of `by`: two of three for the dictionaries, whose texts
+    come to the driver, the others for the calibration, of which only numbers do.
 
-    Rows with a null label or text teach nothing.
+    Rows with a null label or text teach nothing; other columns may have any name. Without both labels the score is the
+    share of label 1, a half without any row.
     """
-    taken = sampled(labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(by, text, F.col(label).cast("int").alias("y")), rows, by)
-    got = sorted((r["y"], r[text]) for r in taken.select("y", text).collect())
-    return build([t.encode() for _, t in got], [int(y > 0) for y, _ in got], size, level)
+    spark = labelled.sparkSession
+    arrow_limits(spark)
+    known = labelled.where(labelled[label].isNotNull() & labelled[text].isNotNull())
+    part = F.pmod(F.xxhash64(labelled[by].cast("string"), F.lit(3)), F.lit(3))
+    taken = sampled(known.select(labelled[by].alias("by"), labelled[text].alias("text"), (labelled[label].cast("int") > 0).cast("int").alias("y"), part.alias("part")), rows, "by")
+    counts = {r["y"]: r["count"] for r in taken.groupBy("y").count().collect()}
+    if len(counts) < 2:
+        dropped(taken)
+        return constant([k for k, n in counts.items() for _ in range(n)], level)
+    got = sorted((r["y"], r["text"]) for r in taken.where("part < 2").select("y", "text").collect())
+    good, bad = dictionaries([t.encode() for _, t in got], [y for y, _ in got], size, level)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(good, bad, level)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sizes.difference(x.encode()) for x in b.column(1).to_pylist()], pa.float64())], ["y", "x"])
 
-def score(docs: DataFrame, model: CompressionModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
-    """The kept columns and the probability of good text for every whole text; one pass, no shuffle.
+    for apart in ("part = 2", "true"):  # all rows where those kept apart have one label only
+        seen = sorted((r["y"], r["x"]) for r in taken.where(apart).select("y", "text").mapInArrow(run, "y int, x double").collect())
+        if len({y for y, _ in seen}) == 2:
+            break
+    dropped(taken)
+    slope, offset = _logistic(np.array([x for _, x in seen]), np.array([float(y) for y, _ in seen]))
+    return CompressionModel(good, bad, level, slope, offset)
+
+
+def score(docs: DataFrame, model: CompressionModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and the probability of good text, `score`, for every whole text; one pass, no shuffle.
 
-    Null and empty texts count as difference 0 and get the curve's value there.
+    Null and empty texts count as difference 0 and get the curve's value there; repeated rows are scored each; an empty table
+    gives no rows.
     """
-    arrow_limits(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         m = shared.value
         sizes = Sizes(m.good, m.bad, m.level)
-        for b in batches:
-            p = [1 / (1 + math.exp(-min(max(m.slope * sizes.difference((x or "").encode()) + m.offset, -500), 500))) for x in b.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(p, pa.float64())], [*keep, out])
+        return lambda texts: [pa.array([1 / (1 + math.exp(-min(max(m.slope * sizes.difference((x or "").encode()) + m.offset, -500), 500))) for x in texts], pa.float64())]
 
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.DoubleType())]))
+    found = beside(docs.select(*keep, *([] if text in keep else [text])), start, [T.StructField("score", T.DoubleType())], text)
+    return found.select(*[F.col(f"row.{c}") for c in keep], "score")

@@ -1,6 +1,7 @@
 """The queries on the smallest tables, against SQL where there is some; the pipeline stage by stage."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillgraph.llm import langid, simhash
@@ -43,6 +44,24 @@ def test_pipeline_stages(spark):
     assert langid.UNDETERMINED not in {r["lang"] for r in seen["bpe"][1].select("lang").distinct().collect()}
 
 
+def test_clashing_columns(spark):
+    """Columns that bear any name used inside change no stage's rows."""
+    names = "row text_ score offending lang_pred key k f g fp n total node u v h a b root least_id component_id first_id anchor part parts visits size rate number target source_size goal_source salt goal_salt copies copy weight most rank by y df bucket ids decoded label toxic count __score __text __n".split()
+    docs = table(spark, SF, "documents").limit(60)
+    wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES:
+        plain, odd = stage(spark, docs, SF), stage(spark, wide, SF)
+        if name == "bpe":
+            assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, odd.collect()))
+            break
+        assert odd.columns == wide.columns
+        got = odd.collect()
+        assert sorted(str(tuple(r)) for r in plain.collect()) == sorted(str(tuple(r[: len(docs.columns)])) for r in got)
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names)
+        docs = docs.sparkSession.createDataFrame(plain.collect(), docs.schema)
+        wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)], [(1, "", "en", None, 0), (1, "", "en", None, 0), (2, "The text of it.", None, "s", 15)]])
 def test_pipeline_on_odd_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
