@@ -555,7 +555,7 @@ def test_suffix_tree(spark, common, depth):
     assert {len(c) for c in kept} == set(range(1, depth + 1))
     assert sum(p(max(kept, key=len), a) for a in [*(w for w in counts if counts[w] >= common * total or not w), None]) == pytest.approx(1.0)
     for most in (1 << 20, 40, 0):
-        got = suffixtree.score(df, ~F.col("held"), ("doc_id", "held"), depth=depth, common=common, most=most).collect()
+        got = suffixtree.score(df, ~F.col("held"), ("doc_id", "held"), depth=depth, symbol=common, common=common / 3, most=most).collect()
         assert len(got) == len(rows)
         by_id = {}
         for r in got:
