@@ -15,19 +15,22 @@ from quillgraph.functions import text as tx
 
 
 def whitespace_tokens(c: Column) -> Column:
-    return F.filter(F.split(c, r"[\x09-\x0D\x20]+"), lambda t: t != "")
+    """Words, each with the white space after it, so that neighbours put together are the text again."""
+    return F.regexp_extract_all(c, F.lit(r"[^\x09-\x0D\x20]+[\x09-\x0D\x20]*"), 0)
 
 
-def token_windows(docs: DataFrame, size: int = 1200, overlap: int = 150, tokens: Callable[[Column], Column] = whitespace_tokens, glue: str = " ") -> DataFrame:
+def token_windows(docs: DataFrame, size: int = 1200, overlap: int = 150, tokens: Callable[[Column], Column] = whitespace_tokens) -> DataFrame:
     """Windows of `size` tokens that share `overlap`; the last is the first to reach the end; blank ones are dropped.
 
-    A projection and a generator: no shuffle. Null and blank texts have no chunk.
+    tokens: pieces of the text in order, with its white space; lines and paragraphs stay as they are, only what is blank at a
+    window's end goes. A projection and a generator: no shuffle. Null and blank texts have no chunk.
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than size")
     words = docs.select("doc_id", tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("t") - overlap - 1, F.lit(0)), F.lit(size - overlap))
-    texts = F.filter(F.transform(starts, lambda s: F.array_join(F.slice("t", s + 1, F.lit(size)), glue)), lambda x: ~tx.is_blank(x))
+    window = lambda s: F.regexp_replace(F.array_join(F.slice("t", s + 1, F.lit(size)), ""), r"[\x09-\x0D\x20]+\z", "")
+    texts = F.filter(F.transform(starts, window), lambda x: ~tx.is_blank(x))
     return words.select("doc_id", F.posexplode(texts).alias("chunk_idx", "text"))
 
 

@@ -259,9 +259,9 @@ def heading_predicate(spark, sf_dir):
     return chunks(spark, sf_dir).select("doc_id", "chunk_idx", tx.is_heading(tx.first_line(F.col("text"))).alias("opens"))
 
 
-@query(r"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(text, '[\x09-\x0D\x20]+'), lambda x: x <> '') AS t FROM documents),
+@query(r"""WITH t AS (SELECT doc_id, regexp_extract_all(text, '[^\x09-\x0D\x20]+[\x09-\x0D\x20]*') AS t FROM documents),
 w AS (SELECT doc_id, t, range(0, greatest(len(t) - 25 - 1, 0) + 1, 175) AS s FROM t WHERE len(t) > 0)
-SELECT doc_id, CAST(unnest(range(0, len(s))) AS INTEGER) AS chunk_idx, unnest(list_transform(s, lambda a: array_to_string(t[a + 1 : a + 200], ' '))) AS text FROM w""")
+SELECT doc_id, CAST(unnest(range(0, len(s))) AS INTEGER) AS chunk_idx, unnest(list_transform(s, lambda a: regexp_replace(array_to_string(t[a + 1 : a + 200], ''), '[\x09-\x0D\x20]+$', ''))) AS text FROM w""")
 def chunk_token_window(spark, sf_dir):
     return chunk.token_windows(table(spark, sf_dir, "documents"), 200, 25)
 
@@ -551,7 +551,7 @@ def eval_report(spark, sf_dir):
     return graph.evaluation(l.where("quality = 1"), e.where("value > 0.5"), l.where("toxic = 0"), e.where("event_id % 2 = 0"))
 
 
-@query(f"WITH {SECTIONS} SELECT doc_id, section_ord, 'Section: ' || title || '. Provide fields in English. Extract entities from the following text and return ONLY JSON with ''entities''.' || chr(10) || chr(10) || 'Text:' || chr(10) AS prompt FROM s")
+@query(f"WITH {SECTIONS} SELECT doc_id, section_ord, 'These passages belong to the section «' || title || '». {model.ENGLISH}List the functional parts that it describes. {model.JSON_ONLY}, with a list named entities.' || chr(10) || chr(10) || 'Passages:' || chr(10) AS prompt FROM s")
 def prompt_build(spark, sf_dir):
     s = chunk.sections(chunks(spark, sf_dir))
     return s.select("doc_id", "section_ord", model.section_prompt(F.col("title"), F.lit("")).alias("prompt"))

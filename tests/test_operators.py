@@ -60,6 +60,11 @@ def test_chunks_and_sections(spark):
     docs = spark.createDataFrame([(1, " ".join(map(str, range(8)))), (2, ""), (3, None), (4, "a b")], "doc_id long, text string")
     got = {(r["doc_id"], r["chunk_idx"]): r["text"] for r in chunk.token_windows(docs, 4, 1).collect()}
     assert got == {(1, 0): "0 1 2 3", (1, 1): "3 4 5 6", (1, 2): "6 7", (4, 0): "a b"}
+    # lines and paragraphs stay, so that a heading is a line of its own
+    book = spark.createDataFrame([(1, "Chapter 1\nThe gate is a module that opens.\n\nSecond  para here. \n")], "doc_id long, text string")
+    whole = chunk.token_windows(book)
+    assert [r["text"] for r in whole.collect()] == ["Chapter 1\nThe gate is a module that opens.\n\nSecond  para here."]
+    assert [r["title"] for r in chunk.sections(whole).collect()] == ["Chapter 1"]
     rows = [(1, 0, "Chapter 1\nx"), (1, 1, "y"), (2, 0, "a"), (2, 1, "b"), (2, 2, "Section A"), (3, 0, "Appendix z"), (3, 1, "u"), (3, 2, "v")]
     s = chunk.sections(spark.createDataFrame(rows, "doc_id long, chunk_idx int, text string"))
     assert sorted((r["doc_id"], r["section_ord"], r["title"], r["chunk_indices"]) for r in s.collect()) == [(1, 0, "Chapter 1", [0, 1]), (2, 0, "Introduction", [0, 1]), (2, 1, "Section A", [2]), (3, 0, "Appendix z", [0, 1, 2])]

@@ -38,7 +38,7 @@ def test_model_answers_are_used(spark):
             return ""
 
         def query_n(self, user, system, temperature, n):
-            if "Candidate relations" in user:
+            if "Links found by comparing" in user:
                 return [json.dumps({"relations": [{"from": "a", "to": "b", "label": "v"}]})] * 2 + ["?"]
             return ['{"entities": [{"name": "Aa", "description": "long enough text", "outputs": ["sig x"]}, {"name": "Bb", "inputs": ["sig x"]}]}'] * n
 
