@@ -38,10 +38,37 @@ def io_links(entities: DataFrame, least: float = 0.62) -> DataFrame:
 
     Terms are compared once each, however many rows share them; rows are told apart by ord, so equal ids may link.
     """
+    outs, ins = _ends(entities)
+    near = similar_terms(outs.select(F.col("x").alias("term")), ins.select(F.col("y").alias("term")), least)
+    return outs.join(near, "x").join(ins, "y").where("o1 <> o2").select("from", "to", F.col("x").alias("label"), "sim")
+
+
+def _ends(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(o1, from, x) of every output and (o2, to, y) of every input."""
     outs = entities.select(F.col("ord").alias("o1"), F.coalesce("id", F.lit("None")).alias("from"), F.explode("outputs").alias("x"))
     ins = entities.select(F.col("ord").alias("o2"), F.coalesce("id", F.lit("None")).alias("to"), F.explode("inputs").alias("y"))
+    return outs, ins
+
+
+def strongest_io_links(entities: DataFrame, least: float = 0.62, most: int = 200) -> DataFrame:
+    """What strongest(io_links(entities, least), most) gives, without the whole bag of links, which a common term squares.
+
+    Of the rows of a term only the first `most` + 1 by name are joined. The links of any other row come after or equal `most`
+    links of those, one for each but the row that may be the other end itself. Repeats are counted, and unfolded last. The
+    ranks are cut in every partition before they are shuffled, so a term of all rows moves `most` + 1 rows a partition.
+    """
+
+    def first(rows: DataFrame, ord_: str, name: str, term: str, n: str) -> DataFrame:
+        counted = rows.groupBy(ord_, name, term).agg(F.count(F.lit(1)).alias(n))
+        rank = F.row_number().over(Window.partitionBy(term).orderBy(name, ord_))
+        return counted.withColumn("rank", rank).where(F.col("rank") <= most + 1).drop("rank")
+
+    outs, ins = _ends(entities)
     near = similar_terms(outs.select(F.col("x").alias("term")), ins.select(F.col("y").alias("term")), least)
-    return outs.join(near, "x").join(ins, "y").where("o1 <> o2").select("from", "to", F.col("x").alias("label"), "sim")
+    links = first(outs, "o1", "from", "x", "n1").join(near, "x").join(first(ins, "o2", "to", "y", "n2"), "y").where("o1 <> o2")
+    times = F.least(F.col("n1") * F.col("n2"), F.lit(most)).cast("int")
+    counted = strongest(links.select("from", "to", F.col("x").alias("label"), "sim", times.alias("times")), most)
+    return strongest(counted.withColumn("times", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("times"), most)
 
 
 def strongest(links: DataFrame, most: int = 200) -> DataFrame:
@@ -66,17 +93,22 @@ def voted_or(proposed: DataFrame, votes: DataFrame, samples: int = 3) -> DataFra
 
 
 def top_voted(votes: DataFrame, samples: int = 3, most: int = 5) -> DataFrame:
-    """(from, to, label): the majority, or the `most` commonest (ties by first seen) if nothing passed."""
+    """(from, to, label, turn): the majority in turn of first seen, or the `most` commonest (ties by first seen) if nothing passed."""
     counted = votes.withColumn("label", F.coalesce("label", F.lit(""))).groupBy("from", "to", "label").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first"))
     passed = counted.where(F.col("n") >= samples // 2 + 1)
     none = passed.limit(1).agg(F.count(F.lit(1))).scalar() == 0
-    best = counted.orderBy(F.desc("n"), "first").limit(most)
-    return passed.select("from", "to", "label").unionByName(best.where(none).select("from", "to", "label"))
+    best = counted.orderBy(F.desc("n"), "first").limit(most).where(none)
+    turn = lambda n: F.struct(n.alias("n"), F.col("first").alias("first")).alias("turn")
+    return passed.select("from", "to", "label", turn(F.lit(0).cast("long"))).unionByName(best.select("from", "to", "label", turn(-F.col("n"))))
+
+
+def new_votes(proposed: DataFrame, votes: DataFrame, samples: int = 3, most: int = 5) -> DataFrame:
+    """(from, to, label, turn): the voted edges that are not among the proposed ones."""
+    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("from", "to", "label")]
+    return top_voted(votes, samples, most).alias("v").join(proposed.alias("p"), same[0] & same[1] & same[2], "left_anti")
 
 
 def with_voted(proposed: DataFrame, votes: DataFrame, samples: int = 3, most: int = 5) -> DataFrame:
     """The proposed edges as they are, and the voted ones that are not among them."""
-    voted = top_voted(votes, samples, most)
-    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("from", "to", "label")]
-    new = voted.alias("v").join(proposed.alias("p"), same[0] & same[1] & same[2], "left_anti")
+    new = new_votes(proposed, votes, samples, most)
     return proposed.select("from", "to", "label").unionByName(new.select("from", "to", "label"))

@@ -276,6 +276,15 @@ def section_index(spark, sf_dir):
     return chunk.sections(chunks(spark, sf_dir)).withColumn("chunk_indices", flat(F.col("chunk_indices").cast("array<string>")))
 
 
+@query(f"""WITH {SECTIONS} SELECT doc_id, section_ord, title, array_to_string(idx, '|') AS chunk_indices FROM s WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 0, 'all', array_to_string(list(chunk_idx ORDER BY chunk_idx), '|') FROM c WHERE doc_id % 3 <> 0 GROUP BY doc_id""")
+def default_section(spark, sf_dir):
+    """An outline of some documents only, so that the others get their one section."""
+    c = chunks(spark, sf_dir)
+    outline = chunk.sections(c).where(F.col("doc_id") % 3 == 0)
+    return chunk.or_default_section(outline, c).withColumn("chunk_indices", flat(F.col("chunk_indices").cast("array<string>")))
+
+
 @query(f"WITH {SECTIONS} SELECT doc_id, section_ord, title, pick, chunk_idx FROM r")
 def section_sample(spark, sf_dir):
     return chunk.representatives(chunk.sections(chunks(spark, sf_dir)))
@@ -376,6 +385,24 @@ def relevance_filter(spark, sf_dir):
     return extract.relevant(entities(spark, sf_dir)).select("ord", "name", "type", "description")
 
 
+_RAW = f"{ANSWERS}, z AS (SELECT unit * 2 + pos AS ord, CAST(floor(unit / 100) AS BIGINT) AS batch, name, type, description FROM ({_COERCED}))"
+
+
+def _raw(spark, sf_dir):
+    """The two entities of each answer, numbered throughout, a hundred units a batch."""
+    return extract.from_answers(answers(spark, sf_dir)).select((F.col("unit") * 2 + F.col("pos")).alias("ord"), F.floor(F.col("unit") / 100).alias("batch"), "e")
+
+
+@query(f"WITH {_RAW} SELECT ord, name, type, description FROM z WHERE {_RELEVANT} QUALIFY row_number() OVER (PARTITION BY name, type ORDER BY ord) = 1")
+def section_mode(spark, sf_dir):
+    return extract.section_mode(_raw(spark, sf_dir).drop("batch")).select("ord", "name", "type", "description")
+
+
+@query(f"WITH {_RAW} SELECT ord, batch, name, type, description FROM z QUALIFY row_number() OVER (PARTITION BY batch, name, type ORDER BY ord) = 1")
+def full_mode(spark, sf_dir):
+    return extract.full_mode(_raw(spark, sf_dir)).select("ord", "batch", "name", "type", "description")
+
+
 @query(f"WITH {ENTITIES} SELECT min(ord) AS ord, name, type FROM e GROUP BY name, type")
 def dedup_exact(spark, sf_dir):
     return extract.first_of_each(entities(spark, sf_dir)).select("ord", "name", "type")
@@ -454,7 +481,7 @@ def io_link(spark, sf_dir):
 
 @query(f'WITH {LINKS} SELECT "from", "to", label, round(sim, 9) AS sim FROM links ORDER BY links.sim DESC, "from", "to", label LIMIT 200')
 def io_link_topk(spark, sf_dir):
-    return relate.strongest(relate.io_links(linked_entities(spark, sf_dir))).withColumn("sim", F.round("sim", 9))
+    return relate.strongest_io_links(linked_entities(spark, sf_dir)).withColumn("sim", F.round("sim", 9))
 
 
 @query(f'WITH {VOTES} SELECT "from", "to", label, n, first FROM q WHERE n >= 2')
@@ -477,7 +504,7 @@ def vote_top5_union(spark, sf_dir):
 
 def _graph(spark, sf_dir):
     e = linked_entities(spark, sf_dir)
-    links = relate.strongest(relate.io_links(e)).select("from", "to", "label")
+    links = relate.strongest_io_links(e).select("from", "to", "label")
     from pyspark.sql import Window
 
     return graph.nodes(e), graph.edges(links.withColumn("ord", F.row_number().over(Window.orderBy("from", "to", "label"))))
