@@ -35,8 +35,3 @@ def block(c: Column) -> Column:
 def robust(c: Column) -> Column:
     """The whole text as JSON, else its first block."""
     return F.coalesce(parsed(c), parsed(block(c)))
-
-
-def records(c: Column, field: str, schema: str) -> Column:
-    """The array under `field` of a JSON object, cast to array<schema>; empty for anything else."""
-    return F.coalesce(F.try_variant_get(c, f"$.{field}", f"array<{schema}>"), F.array().cast(f"array<{schema}>"))

@@ -51,6 +51,11 @@ def run_key(text: str, s: Settings) -> str:
     return hashlib.sha256((text + json.dumps(used, sort_keys=True)).encode()).hexdigest()
 
 
+def index_key(text: str, s: Settings) -> str:
+    """Hash of the text and of the settings that decide its chunks and their vectors."""
+    return hashlib.sha256(json.dumps([text, s.chunk_size, s.chunk_overlap, s.embeddings_model]).encode()).hexdigest()
+
+
 def heuristic(texts: DataFrame) -> DataFrame:
     """(unit, sample_idx, pos, name, type, description, inputs, outputs) by pattern, for units whose call failed."""
     none = F.array().cast("array<string>")
@@ -77,9 +82,21 @@ def replaced(current: DataFrame, answers: DataFrame) -> DataFrame:
     return current if new.isEmpty() else new
 
 
-def entities_by_section(spark: SparkSession, chunks: DataFrame, outline: DataFrame, s: Settings, llm: model.Completer | None, system: str | None, english: bool, embed: retrieve.Embedder) -> DataFrame:
+def vector_index(chunks: DataFrame, embed: retrieve.Embedder, s: Settings, path: str | None) -> DataFrame:
+    """(id, vector) of the chunks: the finished table at `path` if the settings allow, else made now and kept there if they do."""
+    spark = chunks.sparkSession
+    if path and s.reuse_vector_index and files.exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path)
+    made = retrieve.embedded(chunks, embed).select(F.col("chunk_idx").alias("id"), "vector")
+    if not (path and s.persist_vector_index):
+        return made
+    sinks.write_table(made, path)
+    return spark.read.parquet(path)
+
+
+def entities_by_section(spark: SparkSession, chunks: DataFrame, outline: DataFrame, s: Settings, llm: model.Completer | None, system: str | None, english: bool, embed: retrieve.Embedder, index: str | None = None) -> DataFrame:
     picks = chunk.representatives(outline).join(chunks, ["doc_id", "chunk_idx"])
-    vectors = retrieve.embedded(chunks, embed).select(F.col("chunk_idx").alias("id"), "vector")
+    vectors = vector_index(chunks, embed, s, index)
     asked = [(i, np.asarray(v).tolist()) for i, v in enumerate(embed(QUESTIONS))]
     near = retrieve.nearest_of_each(vectors, asked, 4).join(chunks.select(F.col("chunk_idx").alias("id"), "text"), "id")
     rag = near.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("t")).select("query", F.array_join(F.col("t.text"), "\n\n").alias("text")).orderBy("query").collect()
@@ -105,8 +122,8 @@ def entities_by_batch(spark: SparkSession, chunks: DataFrame, s: Settings, llm:
 
 def relations(entities: DataFrame, s: Settings, llm: model.Completer | None, system: str | None, instructions: str) -> DataFrame:
     """(ord, from, to, label): links by similarity, replaced by what a majority of sampled answers names, if any."""
-    links = cut(relate.strongest(relate.io_links(entities, s.io_link_similarity_threshold), s.max_candidate_edges))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("sim"), "from", "to", "label")
+    links = cut(relate.strongest_io_links(entities, s.io_link_similarity_threshold, s.max_candidate_edges))
+    order =Window.partitionBy(F.lit(0)).orderBy(F.desc("sim"), "from", "to", "label")
     proposed = links.withColumn("ord", F.row_number().over(order) - 1)
     ents = model.as_json(entities, "entities", "id", "name", "type", "description", "inputs", "outputs").first()[0]
     rels = model.as_json(proposed, "relations", "from", "to", "label").first()[0]
@@ -127,8 +144,8 @@ def votes_of(answers: DataFrame, field: str) -> DataFrame:
     return each.select((F.row_number().over(one) - 1).alias("ord"), "e.from", "e.to", "e.label")
 
 
-def extract_and_link(spark: SparkSession, text: str, instructions: str, s: Settings, llm: model.Completer | None = None, prompts: dict[str, str] | None = None, embed: retrieve.Embedder | None = None, cache: str | None = None) -> Run:
-    """All stages in order, without files but for the cache of the batch mode."""
+def extract_and_link(spark: SparkSession, text: str, instructions: str, s: Settings, llm: model.Completer | None = None, prompts: dict[str, str] | None = None, embed: retrieve.Embedder | None = None, cache: str | None = None, index: str | None = None) -> Run:
+    """All stages in order, without files but for the cache of the batch mode and the vectors at `index`, if it is given."""
     if not text.strip():
         raise ValueError("the book is empty")
     prompts = prompts or {}
@@ -139,7 +156,7 @@ def extract_and_link(spark: SparkSession, text: str, instructions: str, s: Setti
     if s.full_ingestion:
         found = entities_by_batch(spark, chunks, s, llm, prompts.get("extractor"), english, cache or f"{s.output_dir}/entities-{run_key(text, s)[:16]}.parquet")
     else:
-        found = entities_by_section(spark, chunks, outline, s, llm, prompts.get("extractor"), english, embed or retrieve.hashed_words())
+        found = entities_by_section(spark, chunks, outline, s, llm, prompts.get("extractor"), english, embed or retrieve.hashed_words(), index)
     found = cut(found)
     asked = lambda prompt, name: model.responses(spark.range(1).select(F.lit("0").alias("unit"), prompt.alias("prompt")), llm, prompts.get(name), 0.1)
     normal = normalize.normalized(found).select("ord", "id", "name", "romanian", "type", "description", "inputs", "outputs")
@@ -161,15 +178,17 @@ def extract_and_link(spark: SparkSession, text: str, instructions: str, s: Setti
 
 
 def inferred(nodes: DataFrame, s: Settings, llm: model.Completer | None, system: str | None) -> DataFrame:
-    """(ord, from, to, label) where no relation was distilled: links and voted edges; none if the call fails."""
-    links = cut(relate.strongest(relate.io_links(nodes, s.io_link_similarity_threshold), s.max_candidate_edges))
+    """(ord, from, to, label) where no relation was distilled: links by similarity, then voted edges; none if the call fails."""
+    links = cut(relate.strongest_io_links(nodes, s.io_link_similarity_threshold, s.max_candidate_edges))
     body = model.as_json(nodes, "nodes", "id", "name", "romanian", "function", "inputs", "outputs", "type").first()[0]
     prompt = nodes.sparkSession.range(1).select(F.lit("0").alias("unit"), model.edges_prompt(F.lit(body)).alias("prompt"))
     answers = cut(model.responses(prompt, llm, system, s.llm_temperature, max(1, s.self_consistency_samples)))
-    both = relate.with_voted(links, votes_of(answers, "edges"), s.self_consistency_samples)
-    both = both if not answers.where("status = 'failed'").limit(1).count() else both.limit(0)
-    one = Window.partitionBy(F.lit(0)).orderBy("from", "to", "label")
-    return cut(both.select((F.row_number().over(one) - 1).alias("ord"), "from", "to", "label"))
+    voted = relate.new_votes(links, votes_of(answers, "edges"), s.self_consistency_samples)
+    one = Window.partitionBy(F.lit(0))  # max_candidate_edges links at most, and what one answer names
+    before = F.row_number().over(one.orderBy(F.desc("sim"), "from", "to", "label")) - 1
+    after = F.row_number().over(one.orderBy("turn")) - 1 + s.max_candidate_edges
+    both = links.select(before.alias("ord"), "from", "to", "label").unionByName(voted.select(after.alias("ord"), "from", "to", "label"))
+    return cut(both if not answers.where("status = 'failed'").limit(1).count() else both.limit(0))
 
 
 OUTPUTS = ("knowledge_graph.json", "cognitive_architecture.md", "architecture.puml", "ingestion_meta.json")
@@ -187,16 +206,17 @@ def may_skip(spark: SparkSession, text_hash: str, s: Settings) -> bool:
 
 
 def main(spark: SparkSession, s: Settings, llm: model.Completer | None = None) -> Run | None:
-    """From files to files; None if the resume gate lets an earlier run stand."""
-    text = files.read_book(spark, s.input_dir)
+    """From files to files; None if the resume gate lets an earlier run stand. Without `llm` the endpoint of the settings is asked."""
+    llm = llm or model.ChatEndpoint(s.llm_base_url, s.llm_api_key, s.llm_model)
+    text = files.read_book(spark, s.input_dir, to_ascii=s.transliterate_text, space=s.normalize_whitespace)
     text_hash = hashlib.sha256(text.encode("utf-8", "ignore")).hexdigest()
     if may_skip(spark, text_hash, s):
         log.info("an earlier run of this text is complete")
         return None
     instructions = files.read_text(spark, f"{s.input_dir}/instructions.txt", s.transliterate_text, s.normalize_whitespace)
     prompts = {n: files.read_prompt(spark, s.prompts_dir, f"{n}.txt") for n in ("extractor", "translator", "task_filter", "logical_distiller", "graph_builder") if files.exists(spark, f"{s.prompts_dir}/{n}.txt")}
-    run = extract_and_link(spark, text, instructions, s, llm, prompts)
     out = s.output_dir
+    run = extract_and_link(spark, text, instructions, s, llm, prompts, index=f"{out}/vector_index/{index_key(text, s)[:16]}.parquet")
     rows = lambda df: [r.asDict(recursive=True) for r in df.orderBy("ord").drop("ord").collect()]
     sinks.write_text(spark, f"{out}/cognitive_architecture.md", run.markdown)
     sinks.write_text(spark, f"{out}/architecture.puml", run.diagram)

@@ -76,20 +76,22 @@ def read_books(spark: SparkSession, path: str, to_ascii: bool = True, space: boo
 
 
 def preferred(books: DataFrame) -> DataFrame:
-    """Of each book the first readable form in the order of PREFERENCE, else its first error."""
+    """Of each book the first readable form in the order of PREFERENCE, else its last error."""
     from pyspark.sql import Window
 
     order = F.array_position(F.array(*[F.lit(s) for s in PREFERENCE]), F.col("suffix"))
-    rank = F.row_number().over(Window.partitionBy("book").orderBy(F.col("text").isNull(), F.when(order > 0, order).otherwise(len(PREFERENCE) + 1), "path"))
+    place = F.when(order > 0, order).otherwise(len(PREFERENCE) + 1)
+    bad = F.col("text").isNull()
+    rank = F.row_number().over(Window.partitionBy("book").orderBy(bad, F.when(bad, -place).otherwise(place), "path"))
     return books.withColumn("__n", rank).where("__n = 1").drop("__n")
 
 
-def read_book(spark: SparkSession, folder: str, name: str = "book") -> str:
+def read_book(spark: SparkSession, folder: str, name: str = "book", to_ascii: bool = True, space: bool = True) -> str:
     """The text of the one book in a folder; three kinds of failure are told apart."""
     from pyspark.errors import AnalysisException
 
     try:
-        found = read_books(spark, f"{folder}/{name}.*").where(F.col("suffix").isin(*PREFERENCE))
+        found = read_books(spark, f"{folder}/{name}.*", to_ascii, space).where(F.col("suffix").isin(*PREFERENCE))
         row = preferred(found).where(F.col("book") == name).first()
     except AnalysisException:
         row = None

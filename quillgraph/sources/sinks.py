@@ -28,11 +28,6 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Dedup groups as JSON lines, one group a line."""
-    report.drop("ord").write.mode("overwrite").json(path)
-
-
 def render(command: list[str]) -> bool:
     """An external renderer, if one is set up; a failure is reported, never raised."""
     try:
