@@ -57,12 +57,18 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return seen, starts, np.add.reduceat(seen != 32, starts[:-1]) > 0 if len(low) else np.zeros(0, bool)
 
 
-def buckets(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of the one, two and three characters that start at each place."""
+def buckets(seen: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of the one, two and three characters that start at each place; zeros follow after the last and at `ends`.
+
+    So no n-gram runs into the next text, and what a text gets is the same whatever stands beside it.
+    """
     out, h = [], np.zeros(len(seen), np.uint32)
     for n in range(3):
         nxt = np.zeros(len(seen), np.uint32)
-        nxt[: len(seen) - n] = seen[n:]
+        nxt[: max(len(seen) - n, 0)] = seen[n:]
+        for k in range(n if ends is not None else 0):
+            at = ends - 1 - k
+            nxt[at[(at >= 0) & (at < len(seen))]] = 0
         h = (h ^ nxt) * _MIX
         h ^= h >> np.uint32(15)
         out.append(((h + np.uint32(n + 1)) * _MIX) >> np.uint32(32 - _BITS))
@@ -75,7 +81,7 @@ def sums(seen: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarra
     for a in range(0, len(seen), _WINDOW):
         b = min(a + _WINDOW, len(seen))
         part = np.zeros((b - a, weights.shape[1]), np.float32)
-        for ids in buckets(seen[a : b + 2]):
+        for ids in buckets(seen[a : b + 2], starts[1:] - a):
             part += weights[ids[: b - a]]
         first, last = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b, "left")
         cuts = np.maximum(starts[first:last] - a, 0)
@@ -137,7 +143,7 @@ def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(starts[:-1], starts[1:]):
             has = np.zeros(1 << _BITS, bool)
             for a in range(s, e, _WINDOW):
-                for ids in buckets(seen[a : min(a + _WINDOW, e) + 2]):
+                for ids in buckets(seen[a : min(a + _WINDOW + 2, e)]):
                     has[ids[: min(_WINDOW, e - a)]] = True
             total += has
     at = np.flatnonzero(total)
