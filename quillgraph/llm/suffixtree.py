@@ -6,11 +6,11 @@ follows its suffix: where it betters the likelihood of what followed by GAIN nat
 counts of all others. Distributions are smoothed by discounting 1: what goes to the suffix's distribution is one occurrence of each next symbol, and
 all of those seen fewer than SEEN times. Each place is scored in the state of its longest kept context.
 
-Symbols of the tree are the words with at least the share SYMBOL of all tokens (100,000 at most, whatever the input);
-any other word is the symbol `rare`, which no context holds, and shares the probability of `rare` in proportion to the base.
-Contexts of more than one symbol are counted where they occur LEAST times. Counts of words and contexts and the tree cover all
-training texts, grow with them and stay distributed. Broadcast are, whatever the input, at most: a million words (COMMON),
-the SHARED most common entries of the tree, and filters of 2**_FILTER bits. Entries beyond are joined.
+Every word is a symbol of the tree, however rare. A word that is broadcast goes by its number, any other by a hash of 63
+bits. (With a share `symbol` above 0, words below it are one symbol `rare`, which no context holds, and share its probability in
+proportion to the base.) Contexts of more than one symbol are counted where they occur LEAST times. Counts of words and
+contexts and the tree cover all training texts, grow with them and stay distributed. Broadcast are, whatever the input, at most: a
+million words (COMMON), the SHARED most common entries of the tree, and filters of 2**_FILTER bits. Entries beyond are joined.
 """
 
 from __future__ import annotations
@@ -33,12 +33,13 @@ from quillgraph.llm.common import arrow_limits, dropped, stored
 #: Symbols of the longest context (three at most fit a number), times a context of two or more has to occur and a next symbol
 #: to be seen in it, nats that keep a context.
 DEPTH, LEAST, SEEN, GAIN = 2, 8, 3, 10.0
-#: Shares of all tokens from which a word is a symbol of its own, and is broadcast rather than joined; entries of the tree that
-#: are broadcast, bits of a filter.
-SYMBOL, COMMON, SHARED, _FILTER = 1e-5, 1e-6, 1 << 21, 28
-#: Symbols: words too rare, and the end sign, which also stands before the first word; others follow.
+#: Shares of all tokens from which a word is a symbol of its own (0: every word is), and is broadcast rather than joined; entries of
+#: the tree that are broadcast, bits of a filter.
+SYMBOL, COMMON, SHARED, _FILTER = 0.0, 1e-6, 1 << 21, 28
+#: Symbols: words that no context holds, and the end sign, which also stands before the first word; others follow. Names of
+#: words and contexts by hash are negative and even; -1 is no context.
 RARE, END = 0, 1
-_WIDTH = 20
+_WIDTH, _SIGN = 20, 1 << 63
 #: Bounds of what a Python worker holds: words counted, places of the text at a time, entries summed.
 _FLUSH, _CHUNK, _MOST = 250_000, 1 << 19, 800_000
 
@@ -66,6 +67,11 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def hashed(word: bytes) -> int:
+    """The symbol of a word that isn't broadcast."""
+    return ((xxhash.xxh64_intdigest(word, 42) | _SIGN) & -2) - (1 << 64)
+
+
 # ---- places and their contexts -------------------------------------------------------------------------------------
 
 def stream(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,17 +86,17 @@ def stream(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(seq: np.ndarray, starts: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
-    """For runs of places: first place, symbols, context of each length packed (-1: none there), and which are scored."""
+    """For runs of places: first place, symbols, name of the context of each length (-1: none there), and which are scored."""
     for a in range(0, len(seq), _CHUNK):
         lead = min(a, depth)
         part = seq[a - lead : a + _CHUNK]
-        ctx, key, whole = [], np.zeros(len(part), np.int64), np.ones(len(part), bool)
-        for k in range(1, depth + 1):
-            before = np.zeros(len(part), np.int64)
-            before[k:] = part[:-k]
-            key = key | before << _WIDTH * (k - 1)
-            whole = whole & (before != RARE)
-            ctx.append(np.where(whole, key, -1)[lead:])
+        before = np.concatenate([[RARE], part[:-1]])
+        key = np.where(before != RARE, before, -1)
+        ctx = [key[lead:]]
+        for _ in range(1, depth):
+            older = np.concatenate([[-1], key[:-1]])
+            key = np.where((older != -1) & (before != RARE), extended(older, before), -1)
+            ctx.append(key[lead:])
         real = np.ones(len(part) - lead, bool)
         at = starts[(starts >= a - 1) & (starts < a + _CHUNK)] - a
         for skip in (at, at + 1):
@@ -107,6 +113,14 @@ def mixed(ctx: np.ndarray, sym: np.ndarray | int, level: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
+def extended(ctx: np.ndarray, sym: np.ndarray) -> np.ndarray:
+    """Names of contexts by one newer symbol longer: packed if all are numbers, a hash otherwise."""
+    out = ctx << _WIDTH | sym
+    by_hash = np.flatnonzero((ctx < 0) | (sym < 0))
+    out[by_hash] = (mixed(ctx[by_hash], sym[by_hash], 9) | np.int64(-_SIGN)) & np.int64(-2)
+    return out
+
+
 # ---- filters and tables of numbers ---------------------------------------------------------------------------------
 
 def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,30 +192,35 @@ class Table:
 
 # ---- the tree ------------------------------------------------------------------------------------------------------
 
-def count_contexts(symbols: Callable[[], dict[bytes, int]], top: int, level: int, bits: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(ctx, sym, n): contexts of `level` symbols (below top) and what follows them, summed as far as memory allows; those the filter
-    lets pass."""
+def count_contexts(symbols: Callable[[], dict[bytes, int]], top: int, level: int, bits: Broadcast | None, words: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(ctx, sym, n): contexts of `level` symbols and what follows them, summed as far as memory allows; those the filter lets
+    pass. Symbols are those below top, with a filter `words` also the hashed words in it, and then no others follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, some = symbols().get, bits and bits.value
+        get, some, more = symbols().get, bits and bits.value, words and words.value
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def fold() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ctx, sym, n = (np.concatenate(c) for c in zip(*held))
-            order = np.lexsort((sym, ctx)) if level > 2 else np.argsort(ctx << _WIDTH | sym)
+            order = np.argsort(mixed(ctx, sym, level))
             ctx, sym, n = ctx[order], sym[order], n[order]
             new = np.flatnonzero(np.concatenate([[True], (ctx[1:] != ctx[:-1]) | (sym[1:] != sym[:-1])]))
             return ctx[new], sym[new], np.add.reduceat(n, new)
 
         def out() -> pa.RecordBatch:
             ctx, sym, n = held[0]
-            return pa.RecordBatch.from_arrays([pa.array(ctx), pa.array(sym.astype(np.int32)), pa.array(n)], ["ctx", "sym", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(ctx), pa.array(sym), pa.array(n)], ["ctx", "sym", "n"])
 
         for b in batches:
-            seq, starts = stream([[get(w, RARE) for w in tokens(x)] for x in b.column(0).to_pylist()])
-            seq[seq >= top] = RARE
+            if more is None:
+                seq, starts = stream([[get(w, RARE) for w in tokens(x)] for x in b.column(0).to_pylist()])
+                seq[seq >= top] = RARE
+            else:
+                seq, starts = stream([[get(w) or hashed(w) for w in tokens(x)] for x in b.column(0).to_pylist()])
+                far = np.flatnonzero(seq < 0)
+                seq[far[~passes(more, seq[far])]] = RARE
             for _, sym, ctx, real in pieces(seq, starts, level):
-                at = np.flatnonzero(real & (ctx[-1] >= 0))
+                at = np.flatnonzero(real & (ctx[-1] != -1) & ((sym != RARE) if more is not None else True))
                 if some is not None:
                     at = at[passes(some, ctx[-1][at])]
                 if len(at):
@@ -229,10 +248,18 @@ def keyed(level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ctx, sym, n, p, s_ctx) with the names of the context that the symbol makes longer, and of that context's suffix."""
+    for b in batches:
+        ctx, sym, low = (b.column(i).to_numpy() for i in (0, 1, 4))
+        new = [extended(ctx, sym), np.where(low == -1, sym, extended(low, sym))]
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], *map(pa.array, new)], [*b.schema.names[:4], "name", "low"])
+
+
 @dataclass
 class Model:
-    """What a Python worker needs to score: the words' symbols and logs, values of contexts of one symbol, common entries and
-    a filter of the others."""
+    """What a Python worker needs to score: the words' symbols and logs, values of contexts of one such symbol, common entries
+    and a filter of the others, and whether other words are symbols as well."""
 
     symbols: dict[bytes, int]
     logs: np.ndarray
@@ -240,6 +267,7 @@ class Model:
     table: Table
     bits: np.ndarray | None
     depth: int
+    every: bool
 
     def values(self, seq: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What contexts add to each text's score, and the entries that may be in the filter: text, key."""
@@ -248,11 +276,14 @@ class Model:
         for a, sym, ctx, real in pieces(seq, starts, self.depth):
             gain = np.zeros(len(sym))
             for k, c in enumerate(ctx, 1):
-                at = np.flatnonzero(real & (c >= 0))
+                at = np.flatnonzero(real & (c != -1))
                 if k == 1:
+                    far, at = at[c[at] < 0], at[c[at] >= 0]
                     value = self.single[c[at]]
                     at, value = at[value < 0], value[value < 0]
                     gain[at] += value
+                    far = far[self._look(mixed(c[far], -1, 1), far, a, gain, starts, whose, keys)]
+                    at = np.concatenate([at, far])
                 else:
                     at = at[self._look(mixed(c[at], -1, k), at, a, gain, starts, whose, keys)]
                 self._look(mixed(c[at], sym[at], k), at, a, gain, starts, whose, keys)
@@ -290,18 +321,23 @@ def score(docs: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",), t
 
     learn: which rows teach (null: doesn't). Null and empty texts are one end sign; repeated rows are scored each; an empty
     table gives no rows; only the kept columns and the text are read, so others may have any name. base_score is the
-    add-one unigram score of the tokens; without training rows the score is the base. Words that aren't symbols and
+    add-one unigram score of the tokens; without training rows the score is the base. Words that aren't broadcast and
     entries of the tree beyond the `most` most common are joined, summed by row before the rows meet: nothing common is shuffled.
+    symbol: 0, and every word is a symbol; above, those with at least this share of all tokens.
     """
     if not 1 <= depth <= 3 or not 1 <= seen <= least:
         raise ValueError("contexts have one to three symbols, and occur at least as often as a next symbol of theirs")
+    if 0 < symbol < 1e-6:
+        raise ValueError("symbols by share are a million at most; 0 makes every word one")
     spark = docs.sparkSession
     run_id = uuid.uuid4().hex
     arrow_limits(spark)
     train = docs.where(F.coalesce(learn, F.lit(False))).select(docs[text].alias("text"))
     counts = stored(train.mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
     n, v = (int(x) for x in counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first())
-    often = counts.where((F.col("word") != F.lit(b"")) & (F.col("c") >= F.lit(min(common, symbol) * n))).toArrow().sort_by([("c", "descending"), ("word", "ascending")])  # 1 / share words at most
+    every = symbol <= 0
+    often = counts.where((F.col("word") != F.lit(b"")) & (F.col("c") >= F.lit((common if every else min(common, symbol)) * n))).toArrow().sort_by([("c", "descending"), ("word", "ascending")])  # 1 / share words at most
+    often = often.slice(0, (1 << _WIDTH) - 2) if every else often  # numbers fit their width
     words, c = often.column(0).to_pylist(), often.column(1).to_numpy()
     ends = next((r["c"] for r in counts.where(F.col("word") == F.lit(b"")).collect()), 0)
     own = c[c >= symbol * n]  # of the tree's symbols
@@ -313,39 +349,45 @@ def score(docs: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",), t
     def symbols() -> dict[bytes, int]:
         return _once("symbols" + run_id, lambda: {w: i for i, w in enumerate(shared.value, END)}, 2)
 
-    alone = spark.createDataFrame(pa.table({"sym": pa.array(np.arange(len(root)), pa.int32()), "up": root, "n": held.astype(np.int64)}))  # 100,000 rows at most
-    entries, single, bits, before, used = [], np.zeros(len(root)), None, None, []
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = symbols().get
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([get(w) or hashed(w) for w in b.column(0).to_pylist()], pa.int64()), b.column(1)], ["sym", "n"])
+
+    entries, single, bits, before, used, words_in = [], np.zeros(len(root)), None, None, [], None
+    if every:  # a word seen less than `seen` times is in no pair that is
+        alone = stored(counts.where(F.col("c") >= seen).mapInArrow(coded, "sym long, n long").withColumn("up", (F.col("n") + 1) / F.lit(float(n + v + 1))))
+        words_in = spark.sparkContext.broadcast(filter_of(alone.where("sym < 0").select(F.col("sym").alias("key"))))
+        used.append(alone)
+    else:
+        alone = F.broadcast(spark.createDataFrame(pa.table({"sym": np.arange(len(root)), "up": root, "n": held.astype(np.int64)})))  # 1 / symbol rows at most
     for level in range(1, depth + 1):
         if level > 1:
-            often_ctx = before.where((F.col("n") >= least) & (F.col("sym") != RARE)).select(F.shiftleft("ctx", _WIDTH).bitwiseOR(F.col("sym").cast("long")).alias("key"))
-            bits = spark.sparkContext.broadcast(filter_of(often_ctx))
-        pairs = train.mapInArrow(count_contexts(symbols, top, level, bits), "ctx long, sym int, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n")).where(F.col("n") >= seen)
+            times = before.where((F.col("n") >= least) & (F.col("sym") != RARE)).select(F.col("name").alias("ctx"), F.col("n").alias("all"), F.col("low").alias("s_ctx"))
+            bits = spark.sparkContext.broadcast(filter_of(times.select(F.col("ctx").alias("key"))))
+        pairs = train.mapInArrow(count_contexts(symbols, top, level, bits, words_in), "ctx long, sym long, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n")).where(F.col("n") >= seen)
         # how often a context occurs is the count of it as a pair, one level down; so is its suffix's probability of the symbol
         if level == 1:
-            pairs = pairs.join(F.broadcast(alone.select(F.col("sym").cast("long").alias("ctx"), F.col("n").alias("all"))), "ctx").join(F.broadcast(alone.select("sym", "up")), "sym")
+            pairs = pairs.join(alone.select(F.col("sym").alias("ctx"), F.col("n").alias("all")), "ctx").join(alone.select("sym", "up"), "sym").withColumn("s_ctx", F.lit(-1).cast("long"))
         else:
-            last, low_ctx = (1 << _WIDTH) - 1, (1 << _WIDTH * (level - 1)) - 1
-            times = before.where(F.col("n") >= least).select(F.shiftleft("ctx", _WIDTH).bitwiseOR(F.col("sym").cast("long")).alias("ctx"), F.col("n").alias("all"))
-            below = before.select(F.col("ctx").alias("s_ctx"), F.col("sym").alias("s_sym"), F.col("p").alias("up"))
-            pairs = pairs.join(times, "ctx").join(below, (F.col("ctx").bitwiseAND(low_ctx) == F.col("s_ctx")) & (F.col("sym") == F.col("s_sym"))).drop("s_ctx", "s_sym")
-        pairs = stored(pairs.select("ctx", "sym", "n", "all", "up"))
-        few = F.broadcast if level == 1 else lambda df: df  # contexts of one symbol: 100,000 at most
+            pairs = pairs.join(times, "ctx").join(before.select(F.col("ctx").alias("s_ctx"), "sym", F.col("p").alias("up")), ["s_ctx", "sym"])
+        pairs = stored(pairs.select("ctx", "sym", "n", "all", "up", "s_ctx"))
         stats = pairs.groupBy("ctx").agg(((F.max("all") - F.sum("n") + F.count(F.lit(1))) / F.max("all")).alias("rest"), (F.max("all") - F.sum("n")).alias("pooled"))
         p = (F.col("n") - 1) / F.col("all") + F.col("rest") * F.col("up")
         bettered = F.sum(F.col("n") * F.log(p / F.col("up"))) + F.max(F.when(F.col("pooled") > 0, F.col("pooled") * F.log("rest")).otherwise(0.0))
-        good = pairs.join(few(stats), "ctx").groupBy("ctx").agg(F.max("all").alias("n"), F.max("rest").alias("rest"), bettered.alias("gain")).where(F.col("gain") >= gain)
+        good = pairs.join(stats, "ctx").groupBy("ctx").agg(F.max("all").alias("n"), F.max("rest").alias("rest"), bettered.alias("gain")).where(F.col("gain") >= gain)
         kept = stored(good.select("ctx", "n", "rest", F.log10("rest").alias("value")))
-        known = pairs.join(few(kept.select("ctx", "rest")), "ctx", "left")
+        known = pairs.join(kept.select("ctx", "rest"), "ctx", "left")
         used += [pairs, kept]
         if level < depth:
-            before = stored(known.select("ctx", "sym", "n", F.when(F.col("rest").isNotNull(), p).otherwise(F.col("up")).alias("p")))
+            lower = known.select("ctx", "sym", "n", F.when(F.col("rest").isNotNull(), p).otherwise(F.col("up")).alias("p"), "s_ctx")
+            before = stored(lower.mapInArrow(longer, "ctx long, sym long, n long, p double, name long, low long"))
             used.append(before)
-        followed = known.where(F.col("rest").isNotNull()).select("ctx", F.col("sym").cast("long").alias("sym"), "n", F.log10(p / (F.col("rest") * F.col("up"))).alias("value"))
+        followed = known.where(F.col("rest").isNotNull()).select("ctx", "sym", "n", F.log10(p / (F.col("rest") * F.col("up"))).alias("value"))
         if level == 1:
-            near = kept.toArrow()
+            near = kept.where("ctx >= 0").toArrow()  # as many as words are broadcast
             single[near.column(0).to_numpy()] = near.column(3).to_numpy()
-        else:
-            followed = followed.unionByName(kept.select("ctx", F.lit(-1).cast("long").alias("sym"), "n", "value"))
+        followed = followed.unionByName(kept.where("ctx < 0" if level == 1 else "true").select("ctx", F.lit(-1).cast("long").alias("sym"), "n", "value"))
         entries.append(followed.mapInArrow(keyed(level), "key long, n long, value double"))
     tree = entries[0]
     for e in entries[1:]:
@@ -368,7 +410,7 @@ def score(docs: DataFrame, learn: Column, keep: tuple[str, ...] = ("doc_id",), t
     def model() -> Model:
         def make() -> Model:
             logs, one, keys, values, rare = parts.value
-            return Model({w: i for i, w in enumerate(shared.value, END)}, logs, one, Table(keys, values), rare, depth)
+            return Model({w: i for i, w in enumerate(shared.value, END)}, logs, one, Table(keys, values), rare, depth, every)
 
         return _once(run_id, make)
 
@@ -394,7 +436,7 @@ def lines_of(b: pa.RecordBatch, model: Model, taught: bool) -> pa.RecordBatch:
     """A line for each row (sums over common words and entries), and one for each rarer word or entry in it."""
     rows = b.column(0).to_numpy()
     get = model.symbols.get
-    ids, whose, keys, times = [], [], [], []
+    ids, codes, whose, keys, times = [], [], [], [], []
     for i, x in enumerate(b.column(1).to_pylist()):
         words = tokens(x)
         own = [get(w, RARE) for w in words]
@@ -404,12 +446,14 @@ def lines_of(b: pa.RecordBatch, model: Model, taught: bool) -> pa.RecordBatch:
             whose += [i] * len(other)
             keys += [xxhash.xxh64_intdigest(w, 42) for w in other]
             times += other.values()
+            own = [k or hashed(w) for w, k in zip(words, own)] if model.every else own
+        codes.append(own)
     seq, starts = stream(ids)
     n_tokens = np.diff(starts, append=len(seq)) - 2
     common = seq != RARE
     common[starts + 1] = False
     logs = np.add.reduceat(np.where(common, model.logs[seq], 0.0), starts)
-    gain, who, key = model.values(seq, starts)
+    gain, who, key = model.values(stream(codes)[0], starts)
     order = np.lexsort((key, who))
     who, key = who[order], key[order]
     new = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (key[1:] != key[:-1])])) if len(who) else np.zeros(0, np.int64)

@@ -569,6 +569,24 @@ def test_suffix_tree(spark, common, depth):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("n,fill,depth", [(12, 800_000, 1), (70, 0, 3)])
+def test_every_word_of_the_tree_is_a_symbol(spark, n, fill, depth):
+    """By default, however small its share of a long text, and whether it is broadcast or not."""
+    rng = random.Random(24)
+    phrases = [[f"{rng.choice(WORDS)}{rng.randrange(40)}" for _ in range(5)] for _ in range(6)] + [["one", "mid", "end", "left"], ["two", "mid", "end", "right"]] * (0 if fill else 4)
+    rows = [(i, " ".join(w for _ in range(4 if fill else 12) for w in (rng.choice(phrases) if rng.random() < 0.7 else text(rng, 3).split())), "a") for i in range(2, n)]
+    rows += [(100, "of it " * (fill // 2), "a"), (101, "unknown the0 " + " ".join(phrases[0]), "a")]
+    df = docs(spark, rows).withColumn("held", F.col("doc_id") % 100 == 1)
+    counts, total, kept, _, plain = plain_tree([t for i, t, _ in rows if i % 100 != 1], depth, 8, suffixtree.SEEN, 10.0, 0.0)
+    assert any(len(c) == depth and all(counts[w] < (1e-5 if fill else 0.2) * total for w in c) for c in kept)
+    for common, most in [(1e-6, 1 << 20)] if fill else [(0.06, 1 << 20), (0.06, 5), (2.0, 0)]:
+        got = suffixtree.score(df, ~F.col("held"), depth=depth, common=common, most=most).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            t = dict((i, t) for i, t, _ in rows)[r["doc_id"]]
+            assert r["score"] == pytest.approx(plain(t), rel=1e-5, abs=1e-7 * len(t)), (common, most, r["doc_id"])
+
+
 def test_suffix_tree_on_odd_tables(spark, monkeypatch):
     """Empty tables, nothing to learn from, and texts cut into small runs of places."""
     rng = random.Random(16)
