@@ -14,7 +14,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import arrow_limits, cut, dropped, packed, stored, unpacked
@@ -24,6 +24,8 @@ from quillgraph.llm.components import components
 HOMES = 1024
 #: Rows of an anchor, and places of fingerprints, that are handled at once.
 _SLICE = 2048
+#: Different texts whose common shingles come last in every set, and how many such shingles at most; any choice is exact.
+SAMPLE, LATE = 20_000, 1 << 20
 
 
 def covering(checks: int) -> tuple[list[int], np.ndarray]:
@@ -131,9 +133,10 @@ def forest(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, fa
     return tuple(np.concatenate(c) for c in zip(*chosen))
 
 
-def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray], list[np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Links u, v per anchor that join all that its links join, from rows (anchor, part, visits, name, ...) sorted by anchor and
-    part, homes first, by a last column from the name on; near() tells the links of two groups of rows and their lengths.
+def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray], list[np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]], whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Links u, v per anchor that join all that its links join (whole: all of its links), from rows (anchor, part, visits, name, ...)
+    sorted by anchor and part, homes first, by a last column from the name on; near() tells the links of two groups of rows
+    and their lengths.
 
     Of an open group only its homes are kept.
     """
@@ -158,10 +161,11 @@ def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray]
                 i, j, far = near(own, other)
                 if len(i):
                     # rows that are homes too have the label of their class so far
-                    k = np.searchsorted(own[0], other[0], sorter=(order := np.argsort(own[0])))
-                    k = order[np.minimum(k, len(order) - 1)]
-                    theirs = np.where(own[0][k] == other[0], label[k], other[0])
-                    i, j = forest(label, theirs, i, j, far)
+                    if not whole:
+                        k = np.searchsorted(own[0], other[0], sorter=(order := np.argsort(own[0])))
+                        k = order[np.minimum(k, len(order) - 1)]
+                        theirs = np.where(own[0][k] == other[0], label[k], other[0])
+                        i, j = forest(label, theirs, i, j, far)
                     us.append(own[0][i])
                     vs.append(other[0][j])
         if us:
@@ -185,6 +189,11 @@ def meetings(rows: DataFrame, words: list[str], code: tuple[list[int], np.ndarra
     schema = f"anchor long, visits boolean, {fields}"
     spread = rows.mapInArrow(replicate, schema)
     at_home = rows.mapInArrow(lambda it: replicate(it, True), schema)
+    return parted(spread, at_home, columns)
+
+
+def parted(spread: DataFrame, at_home: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (anchor, visits, name, ...) sorted as compared() needs; anchors of more than HOMES of the rows at_home in parts."""
     heavy = cut(at_home.groupBy("anchor").count().where(F.col("count") > HOMES).select("anchor", F.ceil(F.col("count") / HOMES).cast("int").alias("parts")))
     if heavy.isEmpty():
         spread = spread.withColumn("part", F.lit(0))
@@ -276,7 +285,10 @@ def _second(h: np.ndarray) -> np.ndarray:
 
 def described(text: str | None, shingle: int) -> tuple[int, int, int, int]:
     """128 bits of SimHash over the distinct shingles, their number and the sum of their hashes, which tells sets apart."""
-    h = shingles(text, shingle)
+    return described_set(shingles(text, shingle))
+
+
+def described_set(h: np.ndarray) -> tuple[int, int, int, int]:
     words = []
     for x in (h, _second(h)):
         votes = np.zeros(64, np.int64)
@@ -286,26 +298,63 @@ def described(text: str | None, shingle: int) -> tuple[int, int, int, int]:
     return words[0], words[1], len(h), int(h.sum(dtype=np.uint64).view(np.int64))
 
 
+def first_shingles(h: np.ndarray, least: float, late: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """So many of a set's shingles that sets of similarity `least` share one; those of late (hashes, counts) last, rarest first."""
+    hashes, counts = late
+    k = len(h) - int(np.ceil(least * len(h) - 1e-6)) + 1
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        h = h[np.lexsort((h, np.where(hashes[at] == h, counts[at], 0)))]
+    return h[:k] if len(h) else h
+
+
+def marks(h: np.ndarray) -> list[int]:
+    """256 bits: is the number of shingles with this remainder odd? Sets differ in at least as many shingles as these in bits."""
+    odd = np.bincount((h & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 32, text: str = "text", id_: str = "doc_id") -> DataFrame:
     """doc_id, component_id of every row: classes of texts whose word shingles are alike, Jaccard `least` or more.
 
     Fingerprints of 128 bits are covered by anchors in eight blocks of 15 checked bits: pairs within 15 bits surely meet, others
     if a block differs by one bit at most. Those of matching numbers of shingles within `most` bits are candidates, of which a
-    forest in each anchor, shortest links first, is held against the whole texts: links are exact. Texts without words are
-    one class. Null texts are empty, equal sets of shingles one node; null ids take part in links but name no class.
+    forest in each anchor, shortest links first, is held against the whole texts. An exact check of the rest follows: similar sets
+    share one of their first shingles (in any order that all have), so all pairs of different classes so far that do, and
+    that sizes, places and 256 parities allow to be similar, are held against the whole texts too. No link between
+    classes is lost, none is false. Texts without words are one class. Null texts are empty, equal sets of shingles one node;
+    null ids take part in links but name no class.
     """
-    arrow_limits(docs.sparkSession)
+    spark = docs.sparkSession
+    arrow_limits(spark)
     # by this key one row of a node is found again; a collision is told by the sum of its hashes
     rows = docs.select(docs[id_].cast("long").alias("doc_id"), docs[text].alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
 
+    def each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(x, shingle).view(np.int64))], ["h"])
+
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = rows.select("text").where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["text"])
+    often = some.mapInArrow(each_shingle, "h long").groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(LATE).toArrow()
+    hashes, counts = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
+    late = spark.sparkContext.broadcast((hashes[np.argsort(hashes)], counts[np.argsort(hashes)]))
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f, g, n, total = zip(*[described(x, shingle) for x in b.column(2).to_pylist()]) if len(b) else ((),) * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (f, g, n, total))], ["doc_id", "key", "f", "g", "n", "total"])
+            sets = [shingles(x, shingle) for x in b.column(2).to_pylist()]
+            numbers = np.array([(*described_set(h), *marks(h)) for h in sets], np.int64).reshape(-1, 8)
+            firsts = pa.array([first_shingles(h, least, late.value).view(np.int64) for h in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in numbers.T.copy()), firsts], ["doc_id", "key", "f", "g", "n", "total", *bits, "firsts"])
 
-    each = cut(rows.select("doc_id", "key", "text").mapInArrow(describe, "doc_id long, key long, f long, g long, n long, total long"))
+    bits = ["m0", "m1", "m2", "m3"]
+    each = stored(rows.select("doc_id", "key", "text").mapInArrow(describe, "doc_id long, key long, f long, g long, n long, total long, m0 long, m1 long, m2 long, m3 long, firsts array<long>"))
     nodes = cut(each.groupBy("f", "g", "n", "total").agg(F.min("doc_id").alias("least_id"), F.min("key").alias("key")).withColumn("node", F.monotonically_increasing_id()))
 
+    def fitting(m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.minimum(m, n) >= least * np.maximum(m, n) - 1e-6
+
     def near(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # sizes that allow the similarity, in a range of the homes sorted by size
         order = np.argsort(a[3], kind="stable")
@@ -314,13 +363,16 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 3
         off = apart([x[some] for x in a[1:3]], b[1:3])
         i, j = np.nonzero(off <= most)
         far, i = off[i, j], some[i]
-        m, n = a[3][i], b[3][j]
-        ok = (a[0][i] != b[0][j]) & (np.minimum(m, n) >= least * np.maximum(m, n) - 1e-9)
+        ok = (a[0][i] != b[0][j]) & fitting(a[3][i], b[3][j])
         return i[ok], j[ok], far[ok]
 
-    met = meetings(nodes.select("node", "f", "g", "n"), ["f", "g"], _BLOCK, 16).sortWithinPartitions("anchor", "part", "visits", "n")
-    pairs = cut(met.mapInArrow(lambda it: compared(it, near), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "key", "total"), "node"))
+    def possible(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of rows (node, root, n, place, parities) of different classes that may be similar."""
+        both = a[2][:, None] + b[2][None, :]
+        i, j = np.nonzero((a[1][:, None] != b[1][None, :]) & (np.minimum((a[2] - a[3])[:, None], (b[2] - b[3])[None, :]) >= least / (1 + least) * both - 1e-6))
+        far = sum(np.bitwise_count(x[i].view(np.uint64) ^ y[j].view(np.uint64)).astype(np.int64) for x, y in zip(a[4:], b[4:]))
+        ok = (far <= (1 - least) / (1 + least) * both[i, j] + 1e-6) & fitting(a[2][i], b[2][j])
+        return i[ok], j[ok], far[ok]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -330,11 +382,30 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 3
             flat = np.concatenate([got[i] for i in same]) if same else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))], ["node", "h"])
 
-    found = stored(rows.select("key", "text").join(wanted, "key").select("node", "total", "text").mapInArrow(sets, "node long, h array<long>").dropDuplicates(["node"]))
-    both = pairs.join(found.select(F.col("node").alias("u"), F.col("h").alias("a")), "u").join(found.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
-    shared = F.size(F.array_intersect("a", "b"))
-    roots = components(both.where(shared >= F.lit(least) * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v"))
-    dropped(found)
+    def holding(met: DataFrame, tell: Callable, whole: bool) -> DataFrame:
+        """The candidates u, v that hold against the whole texts."""
+        pairs = cut(met.mapInArrow(lambda it: compared(it, tell, whole), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "key", "total"), "node"))
+        found = stored(rows.select("key", "text").join(wanted, "key").select("node", "total", "text").mapInArrow(sets, "node long, h array<long>").dropDuplicates(["node"]))
+        both = pairs.join(found.select(F.col("node").alias("u"), F.col("h").alias("a")), "u").join(found.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
+        shared = F.size(F.array_intersect("a", "b"))
+        out = cut(both.where(shared >= F.lit(least) * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v"))
+        dropped(found)
+        return out
+
+    met = meetings(nodes.select("node", "f", "g", "n"), ["f", "g"], _BLOCK, 16).sortWithinPartitions("anchor", "part", "visits", "n")
+    links_ = holding(met, near, False)
+    # the rest: pairs of different classes so far that share one of their first shingles
+    classed = nodes.join(components(links_), "node", "left").select("node", "key", "f", "g", "n", "total", F.coalesce("root", "node").alias("root"))
+    one = stored(each.drop("doc_id").join(classed, ["key", "f", "g", "n", "total"]).dropDuplicates(["key", "node"]).select("node", "root", "n", *bits, "firsts"))
+    placed = one.select("node", "root", "n", F.posexplode("firsts").alias("place", "anchor")).withColumn("place", F.col("place").cast("long"))
+    of_one = Window.partitionBy("anchor")
+    mixed = stored(placed.select("*", F.min("root").over(of_one).alias("low"), F.max("root").over(of_one).alias("high")).where("low < high").drop("low", "high"))
+    columns = ["node", "root", "n", "place", *bits]
+    spread = mixed.join(one.select("node", *bits), "node").select("anchor", F.lit(False).alias("visits"), *columns)
+    more = holding(parted(spread, mixed.select("anchor"), columns), possible, True)
+    dropped(one, mixed)
+    roots = components(links_.unionByName(more))
     rooted = cut(nodes.join(roots, "node", "left").select("f", "g", "n", "total", "least_id", F.coalesce("root", "node").alias("root")))
     named = cut(rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("f", "g", "n", "total", "component_id"))
-    return each.join(named, ["f", "g", "n", "total"]).select("doc_id", "component_id")
+    return each.select("doc_id", "f", "g", "n", "total").join(named, ["f", "g", "n", "total"]).select("doc_id", "component_id")

@@ -219,6 +219,31 @@ def test_anchors(spark, homes, monkeypatch):
     assert reach(signed, pairs) == reach(signed, got)
 
 
+@pytest.mark.parametrize("homes", [1024, 3])
+def test_similar_loses_no_pair(spark, homes, monkeypatch):
+    """Short pairs around the threshold, whose fingerprints are far apart, with a passage that many texts share."""
+    monkeypatch.setattr(simhash, "HOMES", homes)
+    rng = random.Random(25)
+    rows = []
+    for i in range(240):
+        words = [f"w{rng.randrange(9999)}" for _ in range(rng.randrange(25, 90))] + ("a passage that stands in many a text " * (i % 3 == 0)).split()
+        n = len(words) - 4
+        rows += [(2 * i, " ".join(words), "a"), (2 * i + 1, " ".join(words[n // 9 :] + [f"v{i}x{k}" for k in range(n // 9)]), "a")]
+    sets = {i: set(simhash.shingles(t, 5).tolist()) for i, t, _ in rows}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    assert len(pairs) > 200
+
+    def met(a, b):
+        """Whether the fingerprints of two texts come to one anchor."""
+        f = [np.array(x, np.int64) for x in zip(*[simhash.described(rows[i][1], 5)[:2] for i in (a, b)])]
+        anchor, home, at = simhash.anchors(f, simhash._BLOCK, 16)
+        return bool(set(anchor[home & (at == 0)]) & set(anchor[at == 1]) or set(anchor[home & (at == 1)]) & set(anchor[at == 0]))
+
+    assert any(not met(a, b) for a, b in pairs)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs(spark, rows)).collect()}
+    assert got == reach(sets, pairs)
+
+
 # ---- fingerprints --------------------------------------------------------------------------------------------------
 
 M64 = (1 << 64) - 1
