@@ -26,6 +26,8 @@ HOMES = 1024
 _SLICE = 2048
 #: Different texts whose common shingles come last in every set, and how many such shingles at most; any choice is exact.
 SAMPLE, LATE = 20_000, 1 << 20
+#: Shingles before its own that a row has with it, so that a pair that shares several is given at the first of them; any number is exact.
+BEFORE = 4
 
 
 def covering(checks: int) -> tuple[list[int], np.ndarray]:
@@ -136,7 +138,7 @@ def forest(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, fa
 def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray], list[np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]], whole: bool = False) -> Iterator[pa.RecordBatch]:
     """Links u, v per anchor that join all that its links join (whole: all of its links), from rows (anchor, part, visits, name, ...)
     sorted by anchor and part, homes first, by a last column from the name on; near() tells the links of two groups of rows
-    and their lengths.
+    and their lengths. Whole links come with u < v, once a batch.
 
     Of an open group only its homes are kept.
     """
@@ -169,7 +171,10 @@ def compared(batches: Iterator[pa.RecordBatch], near: Callable[[list[np.ndarray]
                     us.append(own[0][i])
                     vs.append(other[0][j])
         if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+            u, v = np.concatenate(us), np.concatenate(vs)
+            if whole:
+                u, v = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
 def meetings(rows: DataFrame, words: list[str], code: tuple[list[int], np.ndarray], stride: int) -> DataFrame:
@@ -367,12 +372,18 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 3
         return i[ok], j[ok], far[ok]
 
     def possible(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of rows (node, root, n, place, parities) of different classes that may be similar."""
+        """Pairs of rows (node, root, n, place, parities, shingles before) of different classes that may be similar, without
+        those that meet at a shingle before this one too: of all that a pair shares, the first in both is never left out."""
         both = a[2][:, None] + b[2][None, :]
         i, j = np.nonzero((a[1][:, None] != b[1][None, :]) & (np.minimum((a[2] - a[3])[:, None], (b[2] - b[3])[None, :]) >= least / (1 + least) * both - 1e-6))
-        far = sum(np.bitwise_count(x[i].view(np.uint64) ^ y[j].view(np.uint64)).astype(np.int64) for x, y in zip(a[4:], b[4:]))
+        far = sum(np.bitwise_count(x[i].view(np.uint64) ^ y[j].view(np.uint64)).astype(np.int64) for x, y in zip(a[4:8], b[4:8]))
         ok = (far <= (1 - least) / (1 + least) * both[i, j] + 1e-6) & fitting(a[2][i], b[2][j])
-        return i[ok], j[ok], far[ok]
+        i, j, far = i[ok], j[ok], far[ok]
+        met = np.zeros(len(i), bool)
+        for x in a[8:]:
+            for y in b[8:]:
+                met |= x[i] == y[j]
+        return i[~met], j[~met], far[~met]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -398,14 +409,22 @@ def similar(docs: DataFrame, least: float = 0.8, shingle: int = 5, most: int = 3
     # the rest: pairs of different classes so far that share one of their first shingles
     classed = nodes.join(components(links_), "node", "left").select("node", "key", "f", "g", "n", "total", F.coalesce("root", "node").alias("root"))
     one = stored(each.drop("doc_id").join(classed, ["key", "f", "g", "n", "total"]).dropDuplicates(["key", "node"]).select("node", "root", "n", *bits, "firsts"))
+    # what the later steps need, so that the first shingles, the bulk of both tables, go as soon as they can
+    ids = stored(each.select("doc_id", "f", "g", "n", "total"))
+    dropped(each)
     placed = one.select("node", "root", "n", F.posexplode("firsts").alias("place", "anchor")).withColumn("place", F.col("place").cast("long"))
     of_one = Window.partitionBy("anchor")
     mixed = stored(placed.select("*", F.min("root").over(of_one).alias("low"), F.max("root").over(of_one).alias("high")).where("low < high").drop("low", "high"))
+    parities = stored(one.select("node", *bits))
+    dropped(one)
+    # where fewer stand before, a number that no other node has
+    in_order = Window.partitionBy("node").orderBy("place")
+    earlier = [F.coalesce(F.lag("anchor", k).over(in_order), -1 - F.col("node")).alias(f"b{k}") for k in range(1, BEFORE + 1)]
     columns = ["node", "root", "n", "place", *bits]
-    spread = mixed.join(one.select("node", *bits), "node").select("anchor", F.lit(False).alias("visits"), *columns)
-    more = holding(parted(spread, mixed.select("anchor"), columns), possible, True)
-    dropped(one, mixed)
+    spread = mixed.join(parities, "node").select("anchor", F.lit(False).alias("visits"), *columns, *earlier)
+    more = holding(parted(spread, mixed.select("anchor"), [*columns, *(f"b{k}" for k in range(1, BEFORE + 1))]), possible, True)
+    dropped(mixed, parities)
     roots = components(links_.unionByName(more))
     rooted = cut(nodes.join(roots, "node", "left").select("f", "g", "n", "total", "least_id", F.coalesce("root", "node").alias("root")))
     named = cut(rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("f", "g", "n", "total", "component_id"))
-    return each.select("doc_id", "f", "g", "n", "total").join(named, ["f", "g", "n", "total"]).select("doc_id", "component_id")
+    return ids.join(named, ["f", "g", "n", "total"]).select("doc_id", "component_id")

@@ -244,6 +244,36 @@ def test_similar_loses_no_pair(spark, homes, monkeypatch):
     assert got == reach(sets, pairs)
 
 
+@pytest.mark.parametrize("homes", [1024, 7])
+def test_similar_gives_a_pair_once(spark, homes, monkeypatch, tmp_path):
+    """Texts of one origin, most of them just below the threshold, share many first shingles: a pair is given at one of them."""
+    monkeypatch.setattr(simhash, "HOMES", homes)
+    rng = random.Random(31)
+    base = [f"w{rng.randrange(9999)}" for _ in range(400)]
+    rows = []
+    for i in range(60):
+        words = base.copy()
+        for k in rng.sample(range(400), 5 + i % 2):
+            words[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(words), "a"))
+    sets = {i: set(simhash.shingles(t, 5).tolist()) for i, t, _ in rows}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    made, plain = tmp_path / "made", simhash.compared
+
+    def counted(batches, near, whole=False):
+        for b in plain(batches, near, whole):
+            if whole:
+                with open(made, "a") as f:
+                    f.write("".join(f"{u} {v}\n" for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+            yield b
+
+    monkeypatch.setattr(simhash, "compared", counted)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs(spark, rows)).collect()}
+    assert got == reach(sets, pairs)
+    lines = made.read_text().split("\n")[:-1]
+    assert len(set(lines)) > 100 and len(lines) <= 1.5 * len(set(lines))
+
+
 # ---- fingerprints --------------------------------------------------------------------------------------------------
 
 M64 = (1 << 64) - 1
