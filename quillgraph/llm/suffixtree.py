@@ -40,6 +40,8 @@ SYMBOL, COMMON, SHARED, _FILTER = 0.0, 1e-6, 1 << 21, 28
 #: words and contexts by hash are negative and even; -1 is no context.
 RARE, END = 0, 1
 _WIDTH, _SIGN = 20, 1 << 63
+#: Bits of a filter that go to the driver in one row.
+_SLICE = 18
 #: Bounds of what a Python worker holds: words counted, places of the text at a time, entries summed.
 _FLUSH, _CHUNK, _MOST = 250_000, 1 << 19, 800_000
 
@@ -135,26 +137,43 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[a >> 3] >> (a & 7).astype(np.uint8) & bits[b >> 3] >> (b & 7).astype(np.uint8) & 1) > 0
 
 
+def set_bits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(slice, bits): of a filter of 2**size bits, those that the keys set, a row for each slice of it once a task, or oftener
+    if the task has many keys."""
+    cut = min(size, _SLICE)
+    held: list[np.ndarray] = []
+
+    def out() -> pa.RecordBatch:
+        at = np.unique(np.concatenate(held))
+        which, first = np.unique(at >> cut, return_index=True)
+        bits = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array((at & (1 << cut) - 1).astype(np.int32)))
+        return pa.RecordBatch.from_arrays([pa.array(which), bits], ["slice", "bits"])
+
+    for b in batches:
+        held += places(b.column(0).to_numpy(), size)
+        if sum(map(len, held)) > 2 * _MOST:
+            yield out()
+            held.clear()
+    if held:
+        yield out()
+
+
 def filter_of(keys: DataFrame) -> np.ndarray:
     """Bits of the filter of the distinct column `key`, set on the executors; 16 for each key, 2**_FILTER at most."""
     size = min(_FILTER, max(16, (16 * keys.count()).bit_length()))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = np.unique(np.concatenate(places(b.column(0).to_numpy(), size)))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 15), pa.array(at & 32767)], ["slice", "bit"])
+    cut = min(size, _SLICE)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for x in b.column(1).to_pylist():
-                some = np.zeros(1 << 15, bool)
-                some[x] = True
+            for x in b.column(1):
+                some = np.zeros(1 << cut, bool)
+                some[x.values.flatten().to_numpy()] = True
                 rows.append(np.packbits(some, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], ["slice", "bits"])
 
-    found = keys.select("key").mapInArrow(place, "slice long, bit long").groupBy("slice").agg(F.collect_set("bit").alias("bits")).mapInArrow(pack, "slice long, bits binary").toArrow()
-    out = np.zeros((1 << (size - 15), 1 << 12), np.uint8)
+    found = keys.select("key").mapInArrow(lambda it: set_bits(it, size), "slice long, bits array<int>").groupBy("slice").agg(F.collect_list("bits").alias("bits")).mapInArrow(pack, "slice long, bits binary").toArrow()
+    out = np.zeros((1 << (size - cut), 1 << (cut - 3)), np.uint8)
     for k, x in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
         out[k] = np.frombuffer(x, np.uint8)
     return out.ravel()
@@ -202,7 +221,8 @@ def count_contexts(symbols: Callable[[], dict[bytes, int]], top: int, level: int
 
         def fold() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ctx, sym, n = (np.concatenate(c) for c in zip(*held))
-            order = np.argsort(mixed(ctx, sym, level))
+            # by context, so that what is shuffled compresses; pairs that this key confuses are summed later
+            order = np.argsort((ctx << _WIDTH) + (sym & (1 << _WIDTH) - 1))
             ctx, sym, n = ctx[order], sym[order], n[order]
             new = np.flatnonzero(np.concatenate([[True], (ctx[1:] != ctx[:-1]) | (sym[1:] != sym[:-1])]))
             return ctx[new], sym[new], np.add.reduceat(n, new)

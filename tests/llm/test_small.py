@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -660,6 +661,24 @@ def test_suffix_tree_on_odd_tables(spark, monkeypatch):
         assert np.concatenate([c[2][k] for c in cut]).tolist() == whole[0][0][2][k].tolist()
 
 
+@pytest.mark.parametrize("n,size", [(0, 16), (1, 16), (3000, 16), (60_000, 20)])
+def test_filters_bits_in_a_row_for_each_slice(spark, n, size):
+    """A task gives a row for each slice of the filter, not for each bit; the filter of a table is the same bit by bit."""
+    keys = np.unique(np.random.default_rng(21).integers(-(1 << 62), 1 << 62, n))
+    batches = [pa.RecordBatch.from_arrays([pa.array(k)], ["key"]) for k in np.array_split(keys, 7) if len(k)]
+    rows = [(k, x) for b in suffixtree.set_bits(iter(batches), size) for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    cut = min(size, 18)
+    assert len(rows) == min(n, 1 << (size - cut))
+    expected = np.zeros(1 << size, bool)
+    for at in suffixtree.places(keys, size):
+        expected[at] = True
+    assert np.flatnonzero(expected).tolist() == sorted((k << cut) + x for k, some in rows for x in some)
+    bits = suffixtree.filter_of(spark.createDataFrame(pa.table({"key": keys})))
+    assert suffixtree.passes(bits, keys).all()
+    if len(bits) * 8 == 1 << size:
+        assert (np.unpackbits(bits, bitorder="little") == expected).all()
+
+
 def test_table_of_numbers():
     rng = np.random.default_rng(17)
     keys = np.unique(rng.integers(-(1 << 62), 1 << 62, 5000))
